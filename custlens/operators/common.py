@@ -36,6 +36,10 @@ def lookup(df: DataFrame, table: DataFrame, on: str | list[str], max_rows: int =
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep one row per key — the first by a *total* ``order``.
 
+    ``order`` holds plain value columns compared ascending, left to right
+    (NULL sorts first; put ``col.isNull()`` ahead of a column to sort its NULLs
+    last).
+
     Written as an aggregate (``min_by`` over a struct of the row) rather than
     ``row_number()`` over a window: the aggregate combines map-side, so one
     hot key never lands whole in a single task.
