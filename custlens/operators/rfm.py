@@ -87,9 +87,9 @@ def pair_summary(prepared: DataFrame, packs: list[str] | None = None) -> DataFra
     return pair.withColumnRenamed("given_product_name", "product_name")
 
 
-def rfm_from_summary(summary: DataFrame, as_of: Column) -> DataFrame:
+def rfm_from_summary(summary: DataFrame, as_of: Column, extra: list[Column] | None = None) -> DataFrame:
     """C2 columns from the summary: recency = floored days to ``as_of``,
-    clamped at 0 (F6, F7)."""
+    clamped at 0 (F6, F7); ``extra`` columns ride along."""
     return summary.select(
         *KEYS,
         "last_shipment_date",
@@ -97,6 +97,7 @@ def rfm_from_summary(summary: DataFrame, as_of: Column) -> DataFrame:
         F.col("frequency").cast("bigint").alias("frequency"),
         "monetary",
         "product_qty",
+        *(extra or []),
     )
 
 

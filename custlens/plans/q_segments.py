@@ -196,3 +196,183 @@ def q_funnel_two_pack(spark: SparkSession, sf: str) -> DataFrame:
     """C5 (W2, A7, A8, P9) with the pack table replacing the hard-coded branches."""
     out = funnel_two_pack(_kept(spark, sf), fx.pack_days(spark, sf), _as_of())
     return edge(out, doubles=("qty_large", "qty_small"))
+
+
+# --- segmentation (M1, M2b, M3, C3, C7, C8) ---------------------------------
+
+_SCORED_SQL = f"""
+day AS (
+  SELECT customer_id, given_product_name AS product_name, last_shipment_date,
+         count(*) AS n, sum(product_sales_total) AS sales, max(product_qty) AS qty,
+         max(product_qty) FILTER (WHERE pack = 'large') AS q_large,
+         max(product_qty) FILTER (WHERE pack = 'small') AS q_small
+  FROM prepared
+  WHERE customer_id IS NOT NULL AND given_product_name IS NOT NULL
+  GROUP BY ALL),
+pair AS (
+  SELECT customer_id, product_name, sum(n) AS frequency, coalesce(sum(sales), 0) AS monetary,
+         max(last_shipment_date) AS last_shipment_date,
+         arg_max_null(qty, last_shipment_date) FILTER (WHERE last_shipment_date IS NOT NULL) AS product_qty,
+         arg_max_null(q_large, last_shipment_date) FILTER (WHERE last_shipment_date IS NOT NULL) AS qty_large,
+         arg_max_null(q_small, last_shipment_date) FILTER (WHERE last_shipment_date IS NOT NULL) AS qty_small
+  FROM day GROUP BY ALL),
+cfg AS (
+  SELECT product_name,
+         max(days_per_unit) FILTER (WHERE pack = 'large') AS d_large,
+         max(days_per_unit) FILTER (WHERE pack = 'small') AS d_small
+  FROM pack_days GROUP BY product_name),
+dep AS (
+  SELECT p.*, coalesce(
+           CASE WHEN c.product_name IS NOT NULL
+                THEN coalesce(qty_large * d_large, 0) + coalesce(qty_small * d_small, 0) END,
+           p.product_qty * u.days_per_unit) AS depletion_days,
+         CAST(floor(date_diff('microsecond', p.last_shipment_date, {AS_OF_SQL}) / 86400000000.0) AS BIGINT) AS _d
+  FROM pair p LEFT JOIN cfg c ON p.product_name = c.product_name
+  LEFT JOIN unit_days u ON p.product_name = u.product_name),
+scored AS (
+  SELECT customer_id, product_name, last_shipment_date,
+         CASE WHEN _d < 0 THEN 0 ELSE _d END AS recency, CAST(frequency AS BIGINT) AS frequency, monetary, product_qty,
+         CASE WHEN depletion_date >= {AS_OF_SQL} THEN 'Hot'
+              WHEN depletion_date >= {AS_OF_SQL} - INTERVAL 3 MONTH THEN 'Warm' ELSE 'Cold' END AS funnel
+  FROM (SELECT *, last_shipment_date + to_days(CAST(depletion_days AS INTEGER)) AS depletion_date FROM dep)),
+stats AS (
+  SELECT product_name,
+         avg(recency) AS m_r, stddev_pop(recency) AS s_r,
+         avg(frequency) AS m_f, stddev_pop(frequency) AS s_f,
+         avg(monetary) AS m_m, stddev_pop(monetary) AS s_m
+  FROM scored GROUP BY product_name),
+scaled AS (
+  SELECT s.*,
+         CASE WHEN s_r IS NULL OR s_r = 0 THEN 0.0 ELSE (recency - m_r) / s_r END AS z_recency,
+         CASE WHEN s_f IS NULL OR s_f = 0 THEN 0.0 ELSE (frequency - m_f) / s_f END AS z_frequency,
+         CASE WHEN s_m IS NULL OR s_m = 0 THEN 0.0 ELSE (monetary - m_m) / s_m END AS z_monetary
+  FROM scored s LEFT JOIN stats st ON s.product_name = st.product_name),
+bounds AS (
+  SELECT product_name,
+         min(z_recency) AS lo_r, max(z_recency) AS hi_r,
+         min(z_frequency) AS lo_f, max(z_frequency) AS hi_f,
+         min(z_monetary) AS lo_m, max(z_monetary) AS hi_m
+  FROM scaled GROUP BY product_name),
+cents AS (
+  SELECT product_name, j AS cluster,
+         lo_r + ((j + 0.5::DOUBLE) / 5) * (hi_r - lo_r) AS c_r,
+         lo_f + ((j + 0.5::DOUBLE) / 5) * (hi_f - lo_f) AS c_f,
+         lo_m + ((j + 0.5::DOUBLE) / 5) * (hi_m - lo_m) AS c_m
+  FROM bounds, (SELECT CAST(range AS INTEGER) AS j FROM range(5))),
+assigned AS (
+  SELECT s.customer_id, s.product_name,
+         arg_min(c.cluster, {{'d': (c_r - z_recency) * (c_r - z_recency) + (c_f - z_frequency) * (c_f - z_frequency)
+                                  + (c_m - z_monetary) * (c_m - z_monetary), 'c': c.cluster}}) AS cluster
+  FROM scaled s JOIN cents c ON s.product_name = c.product_name
+  GROUP BY s.customer_id, s.product_name),
+seg AS (
+  SELECT s.*, a.cluster FROM scaled s JOIN assigned a
+  ON s.customer_id = a.customer_id AND s.product_name = a.product_name),
+medians AS (
+  SELECT product_name, cluster, median(frequency) AS median_frequency,
+         CASE WHEN median(frequency) >= 6 THEN 'Champion' WHEN median(frequency) >= 2 THEN 'Loyal'
+              WHEN median(frequency) < 2 THEN 'Potential Loyal' ELSE 'At Risk' END AS cluster_name
+  FROM seg GROUP BY product_name, cluster),
+named AS (
+  SELECT s.*, s.cluster AS cluster_id,
+         CASE WHEN s.frequency > 5 THEN 'Champion' ELSE m.cluster_name END AS segment_name
+  FROM seg s LEFT JOIN medians m ON s.product_name = m.product_name AND s.cluster = m.cluster)"""
+
+_SEG_FIXTURES = ("unit_days", "pack_days")
+
+
+def _seg_chain_sql(body: str) -> str:
+    return _seg_sql(",\n" + _with(_KEPT_SQL, _PREP_SQL, _SCORED_SQL) + "\n" + body, *_SEG_FIXTURES)
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    from custlens.plans.segments import rfm_with_funnel
+
+    return rfm_with_funnel(_kept(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
+
+
+@query(
+    "rfm_scaled",
+    _seg_chain_sql(
+        "SELECT customer_id, product_name, round(z_recency, 6) AS z_recency, round(z_frequency, 6) AS z_frequency, "
+        "round(z_monetary, 6) AS z_monetary FROM scaled"
+    ),
+)
+def q_rfm_scaled(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: per-product z-scores of recency, frequency, monetary."""
+    from custlens.operators.segment import scale_features
+
+    z = scale_features(_scored(spark, sf))
+    return z.select("customer_id", "product_name", *[F.round(c, 6).alias(c) for c in ("z_recency", "z_frequency", "z_monetary")])
+
+
+@query("nearest_centroid", _seg_chain_sql("SELECT customer_id, product_name, cluster FROM assigned"))
+def q_nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest of k = 5 deterministic seeds per product."""
+    from custlens.operators.segment import assign_nearest, grid_centroids, scale_features
+
+    z = scale_features(_scored(spark, sf))
+    return assign_nearest(z, grid_centroids(z, 5)).select("customer_id", "product_name", "cluster")
+
+
+@query(
+    "cluster_names",
+    _seg_chain_sql(
+        "SELECT product_name, cluster, CAST(median_frequency AS DOUBLE) AS median_frequency, cluster_name FROM medians"
+    ),
+)
+def q_cluster_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Median frequency per (product, cluster) and its name."""
+    from custlens.operators.segment import assign_nearest, grid_centroids, scale_features
+
+    z = scale_features(_scored(spark, sf))
+    a = assign_nearest(z, grid_centroids(z, 5))
+    med = a.groupBy("product_name", "cluster").agg(F.median("frequency").alias("median_frequency"))
+    m = F.col("median_frequency")
+    name = (
+        F.when(m >= 6, "Champion").when(m >= 2, "Loyal").when(m < 2, "Potential Loyal").otherwise("At Risk")
+    ).alias("cluster_name")
+    return med.select("product_name", "cluster", "median_frequency", name)
+
+
+_C8_SQL = """,
+provinces AS (SELECT DISTINCT customer_id, province_id FROM kept),
+products AS (SELECT DISTINCT product_name, product_id FROM kept)
+SELECT n.customer_id,
+       CASE WHEN n.segment_name = 'Potential Loyal' AND n.funnel = 'Cold' THEN 'Hibernate' ELSE n.segment_name END AS cluster,
+       n.funnel, n.product_name, p.product_id, n.last_shipment_date, n.product_qty,
+       CASE WHEN n.frequency IN (1, 2, 3, 4, 5) THEN CAST(n.frequency - 1 AS INTEGER) ELSE 5 END AS repeat_order,
+       v.province_id
+FROM named n LEFT JOIN provinces v ON n.customer_id = v.customer_id
+LEFT JOIN products p ON n.product_name = p.product_name"""
+
+
+@query("customer_segments", _seg_chain_sql(_C8_SQL))
+def q_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """C8 with deterministic seeds (M2b): the 9-column segment table
+    (C3, C6, C7, J3, J4, U1, A9, P3, P4)."""
+    from custlens.plans.segments import customer_segments
+
+    return customer_segments(fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
+
+
+@query("kmeans_segments")
+def q_kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Pyspark.ml K-Means (k = 5, seed 42) per product, named by
+    median frequency. Rows-only check: cluster ids cannot match another
+    library's."""
+    from custlens.operators.segment import segment
+
+    seg = segment(_scored(spark, sf), k=5, method="kmeans", seed=42)
+    return seg.select("customer_id", "product_name", "cluster_id", "cluster", "funnel")
+
+
+@query("customer_segments_kmeans")
+def q_customer_segments_kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    """C8 with K-Means segments refined by grouped Lloyd iterations (M2 for
+    all products in one pass per iteration); rows-only check."""
+    from custlens.plans.segments import customer_segments
+
+    return customer_segments(
+        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), method="lloyd"
+    )
