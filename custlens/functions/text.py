@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,14 +22,15 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def canonical_name(c: ColumnOrName, rules: list[tuple[str, str]]) -> Column:
-    """case-insensitive *contains* rules, applied in order; the last rule
-    that matches wins (each pandas assignment overwrites the previous one).
-    No rule → the name is kept. NULL names never match (``na=False``)."""
+    """case-insensitive *contains* rules, applied in order to the current
+    value; a later rule that matches overwrites an earlier one (each pandas
+    assignment overwrites the previous). No rule → the name is kept. NULL
+    names never match (``na=False``). Needles are literal text."""
     col = _col(c)
     out = col
     for needle, canonical in rules:
-        pattern = "(?i)" + re.escape(needle)
-        out = F.when(col.isNotNull() & out.rlike(pattern), F.lit(canonical)).otherwise(out)
+        hit = F.lower(out).contains(F.lit(needle.lower()))
+        out = F.when(col.isNotNull() & hit, F.lit(canonical)).otherwise(out)
     return out
 
 
@@ -76,6 +75,5 @@ def clean_tweet(c: ColumnOrName) -> Column:
 
 
 def word_count(c: ColumnOrName) -> Column:
-    """Number of blank-separated words (0 for an empty or blank text)."""
-    t = F.trim(_col(c))
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+")))
+    """Number of non-blank runs in the whole text (0 when blank)."""
+    return F.size(F.regexp_extract_all(_col(c), F.lit(r"\S+"), 0))

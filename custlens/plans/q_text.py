@@ -1 +1,160 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for text preparation and the scalar text/time helpers:
+C16–C18, F13, F19–F23, P8."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from custlens.functions.dates import parse_timestamp_any
+from custlens.functions.text import PROMPT_TEMPLATE, canonical_name, clean_tweet, normalise_person_name
+from custlens.operators.textprep import (
+    DEFAULT_EOS,
+    TOKEN_PATTERN,
+    flag_overlength,
+    keyword_filter,
+    render_transcript,
+    strip_eos,
+    transcripts,
+    with_prompt_text,
+)
+from custlens.plans.registry import edge, query
+from custlens.sources import fixtures as fx
+from custlens.sources.tables import read_table
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_HEAD, _REST = PROMPT_TEMPLATE.split("{}", 1)
+_MID1, _REST = _REST.split("{}", 1)
+_MID2, _END = _REST.split("{}", 1)
+_PROMPT_SQL = (
+    f"{_lit(_HEAD)} || instruction || {_lit(_MID1)} || input || {_lit(_MID2)} || output || {_lit(_END)} || {_lit(DEFAULT_EOS)}"
+)
+
+
+@query("prompt_text", fx.with_fixtures(f"SELECT doc_id, {_PROMPT_SQL} AS text FROM instructions", "instructions"))
+def q_prompt_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The training text of every instruction row (whole texts)."""
+    return with_prompt_text(fx.instructions(spark, sf)).select("doc_id", "text")
+
+
+@query(
+    "eos_strip",
+    fx.with_fixtures(
+        f"""SELECT doc_id, CASE WHEN suffix(t, {_lit(DEFAULT_EOS)}) THEN left(t, length(t) - {len(DEFAULT_EOS)}) ELSE t END AS text
+FROM (SELECT doc_id, {_PROMPT_SQL} AS t FROM instructions)""",
+        "instructions",
+    ),
+)
+def q_eos_strip(spark: SparkSession, sf: str) -> DataFrame:
+    """the end marker removed again from the training text."""
+    return strip_eos(with_prompt_text(fx.instructions(spark, sf))).select("doc_id", "text")
+
+
+@query(
+    "transcripts",
+    """SELECT conv_id, count(*) AS n_messages,
+       string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
+FROM (SELECT * FROM conversations
+      QUALIFY NOT (row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
+                   AND role = 'assistant' AND coalesce(text, '') = ''))
+GROUP BY conv_id""",
+)
+def q_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """C17: ordered role/content messages per conversation, rendered."""
+    t = transcripts(read_table(spark, sf, "conversations"))
+    return t.select("conv_id", F.size("messages").alias("n_messages"), render_transcript(F.col("messages")).alias("transcript"))
+
+
+@query(
+    "overlength",
+    """SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS INTEGER) AS n_words,
+       len(regexp_extract_all(text, '\\S+')) > 2048 AS over_length
+FROM documents""",
+)
+def q_overlength(spark: SparkSession, sf: str) -> DataFrame:
+    """Words per document and the over-length flag (2048)."""
+    return flag_overlength(read_table(spark, sf, "documents", ["doc_id", "text"])).select("doc_id", "n_words", "over_length")
+
+
+_KEYWORDS = ["that", "und", "que"]
+
+
+@query(
+    "keyword_filter",
+    f"""SELECT doc_id, lang, source FROM documents
+WHERE len(list_intersect(regexp_extract_all(lower(text), '{TOKEN_PATTERN}'), {_KEYWORDS!r})) > 0""",
+)
+def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents containing any keyword as a whole word (no row cap)."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "text"])
+    return keyword_filter(docs, _KEYWORDS).select("doc_id", "lang", "source")
+
+
+@query(
+    "text_cleaned",
+    """SELECT doc_id, trim(regexp_replace(
+         regexp_replace(regexp_replace(regexp_replace(lower(text), 'https?://\\S+|www\\.\\S+', ' ', 'g'),
+                                       '@\\w+', ' ', 'g'),
+                        '[^\\p{L}\\p{N}#\\s]', ' ', 'g'),
+         '\\s+', ' ', 'g')) AS cleaned
+FROM documents""",
+)
+def q_text_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """text cleaning (lower, no URLs / mentions / symbols, one blank)."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", clean_tweet("text").alias("cleaned"))
+
+
+@query(
+    "name_normalised",
+    fx.with_fixtures(
+        """SELECT staff_id, array_to_string(list_transform(string_split(lower(trim(regexp_replace(staff_name, '\\s+', ' ', 'g'))), ' '),
+                          lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS staff_name
+FROM staff_directory""",
+        "staff_directory",
+    ),
+)
+def q_name_normalised(spark: SparkSession, sf: str) -> DataFrame:
+    """employee names with single blanks and title case."""
+    d = fx.staff_directory(spark, sf)
+    return d.select("staff_id", normalise_person_name("staff_name").alias("staff_name"))
+
+
+# The timestamp layouts accepted by the cleaning step, in order.
+TS_FORMATS = ["yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"]
+
+
+@query(
+    "timestamps_cleaned",
+    "SELECT event_id, date_trunc('second', ts) AS ts FROM events",
+)
+def q_timestamps_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """event times written in three layouts (rotating by event id) are
+    parsed back to one timestamp."""
+    ev = read_table(spark, sf, "events", ["event_id", "ts"])
+    k = F.col("event_id") % len(TS_FORMATS)
+    text = F.when(k == 0, F.date_format("ts", TS_FORMATS[0]))
+    for i, fmt in enumerate(TS_FORMATS[1:], start=1):
+        text = text.when(k == i, F.date_format("ts", fmt))
+    return ev.select("event_id", parse_timestamp_any(text, TS_FORMATS).alias("ts"))
+
+
+_CANON_RULES = [("brand#1", "Brand#1x"), ("brand#2", "Brand#2x")]
+
+
+@query(
+    "product_canonical",
+    """SELECT p_partkey, p_brand,
+       CASE WHEN contains(lower(CASE WHEN contains(lower(p_brand), 'brand#1') THEN 'Brand#1x' ELSE p_brand END), 'brand#2')
+            THEN 'Brand#2x'
+            ELSE CASE WHEN contains(lower(p_brand), 'brand#1') THEN 'Brand#1x' ELSE p_brand END END AS given_product_name
+FROM part""",
+)
+def q_product_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """ordered case-insensitive contains rules → canonical names."""
+    part = read_table(spark, sf, "part", ["p_partkey", "p_brand"])
+    return edge(part.select("p_partkey", "p_brand", canonical_name("p_brand", _CANON_RULES).alias("given_product_name")))
