@@ -262,7 +262,8 @@ FIXTURE_SQL: dict[str, str] = {
     FROM events""",
     "staff_directory": "SELECT c_custkey AS staff_id, c_name AS staff_name FROM customer",
     "targets": """
-    SELECT p AS product, 1 + p % 2 AS target, p + 1 AS weight, 10 AS bonus
+    SELECT CAST(p AS INTEGER) AS product, CAST(1 + p % 2 AS INTEGER) AS target,
+           CAST(p + 1 AS INTEGER) AS weight, 10 AS bonus
     FROM range(5) t(p)""",
     "instructions": """
     SELECT doc_id, lang AS instruction, text AS input, source AS output FROM documents""",
