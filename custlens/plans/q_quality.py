@@ -1 +1,68 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for the optional order-validation checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from custlens.operators import quality as dq
+from custlens.plans.registry import edge, query
+from custlens.sources import fixtures as fx
+from custlens.sources.tables import read_table
+
+
+@query(
+    "dup_orders",
+    """SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_day, count(*) AS n_orders
+FROM orders GROUP BY ALL HAVING count(*) > 1""",
+)
+def q_dup_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """D1."""
+    return edge(dq.duplicate_orders(read_table(spark, sf, "orders", ["o_custkey", "o_orderdate"])))
+
+
+@query(
+    "dup_customers",
+    """SELECT lower(array_to_string(list_transform(string_split(lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))), ' '),
+                  lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')) AS name_key,
+       count(DISTINCT c_custkey) AS n_customers
+FROM customer GROUP BY ALL HAVING count(DISTINCT c_custkey) > 1""",
+)
+def q_dup_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """D2."""
+    return dq.duplicate_customers(read_table(spark, sf, "customer", ["c_custkey", "c_name"]))
+
+
+@query(
+    "dup_invoices",
+    "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+)
+def q_dup_invoices(spark: SparkSession, sf: str) -> DataFrame:
+    """D3."""
+    return dq.duplicate_invoices(read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"]))
+
+
+@query(
+    "bad_labels",
+    """SELECT label, n_orders, CASE WHEN label IS NULL OR NOT regexp_matches(label, '^[0-9]{1,20}$')
+                                THEN 'malformed' ELSE 'duplicate' END AS problem
+FROM (SELECT CAST(o_orderkey AS VARCHAR) AS label, count(DISTINCT o_orderkey) AS n_orders FROM orders GROUP BY ALL)
+WHERE label IS NULL OR NOT regexp_matches(label, '^[0-9]{1,20}$') OR n_orders > 1""",
+)
+def q_bad_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Tracking labels (the order key as text) malformed or reused."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey"])
+    return dq.bad_labels(orders, F.col("o_orderkey").cast("string"))
+
+
+@query(
+    "orphan_returns",
+    fx.with_fixtures(
+        "SELECT * FROM returns r WHERE NOT EXISTS (SELECT 1 FROM cohort_sales s WHERE s.tracking_number = r.AWB)",
+        "returns",
+        "cohort_sales",
+    ),
+)
+def q_orphan_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """Returns without a matching sale."""
+    return dq.orphan_returns(fx.returns(spark, sf), fx.cohort_sales(spark, sf))
