@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from custlens.functions.dates import months_before
 from custlens.operators.common import bounded_broadcast
-from custlens.operators.rfm import _pack_col, pack_names, pair_summary, prepare_sales
+from custlens.operators.rfm import (
+    _pack_col,
+    day_rows,
+    drop_high_return_days,
+    pack_names,
+    pair_summary,
+    prepare_sales,
+    summary_from_days,
+)
 
 # Funnel labels and the Warm look-back window.
 HOT, WARM, COLD = "Hot", "Warm", "Cold"
@@ -58,16 +66,24 @@ def pack_depletion_days(summary: DataFrame, pack_days: DataFrame, packs: list[st
     return out.drop("_has_packs", *[f"_d_{p}" for p in packs])
 
 
-def funnel_two_pack(sales: DataFrame, pack_days: DataFrame, as_of: Column, canonical_rules=None) -> DataFrame:
+def funnel_two_pack(
+    sales: DataFrame, pack_days: DataFrame, as_of: Column, canonical_rules=None, exclude_returns: bool = False
+) -> DataFrame:
     """On each (customer, product)'s latest shipment day take the largest
     quantity per pack size, add quantity × days for every pack present, and
     grade the resulting depletion date.
 
     Output per (customer, product): last_shipment_date, one quantity column
-    per pack (``qty_<pack>``), depletion_date, funnel.
+    per pack (``qty_<pack>``), depletion_date, funnel. ``exclude_returns``
+    applies C1 inside the same aggregate (pass raw sales then).
     """
     packs = pack_names(pack_days)
-    summary = pair_summary(prepare_sales(sales, canonical_rules), packs)
+    if exclude_returns:
+        # C1 decided on the level-1 aggregate: one scan of the sales rows.
+        days = drop_high_return_days(day_rows(prepare_sales(sales), packs))
+        summary = summary_from_days(days, packs, canonical_rules)
+    else:
+        summary = pair_summary(prepare_sales(sales, canonical_rules), packs)
     out = pack_depletion_days(summary, pack_days, packs)
     out = out.withColumn("depletion_date", _plus_days(F.col("last_shipment_date"), F.col("pack_days_total")))
     return out.select(

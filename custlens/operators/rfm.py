@@ -16,7 +16,7 @@ one partial row per (task, day) before the first shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.dates import elapsed_days, fill_missing_shipment, safe_timestamp
@@ -87,6 +87,75 @@ def pair_summary(prepared: DataFrame, packs: list[str] | None = None) -> DataFra
     return pair.withColumnRenamed("given_product_name", "product_name")
 
 
+def day_rows(
+    prepared: DataFrame,
+    packs: list[str] | None = None,
+    status_col: str | None = "sale_status",
+    return_status: int = 3,
+    extra_keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """Level 1: one row per (customer, raw product, shipment instant,
+    *extra_keys) with row count, return count, sales sum, largest quantity
+    and largest quantity per pack. The canonical name is derived later from
+    the raw one (``summary_from_days``).
+
+    NULL keys are kept here (they survive C1 and can still feed lookups such
+    as provinces); level 2 drops them.
+    """
+    packs = packs or []
+    returns = F.count_if(F.col(status_col) == return_status) if status_col else F.lit(0).cast("bigint")
+    return prepared.groupBy("customer_id", "product_name", "last_shipment_date", *extra_keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        returns.alias("_r"),
+        F.sum("product_sales_total").alias("_sales"),
+        F.max("product_qty").alias("_qty"),
+        *[F.max(F.when(F.col("pack") == p, F.col("product_qty"))).alias(_pack_col(p)) for p in packs],
+    )
+
+
+def drop_high_return_days(days: DataFrame, min_rows: int = 3, max_return_pct: int = 50) -> DataFrame:
+    """C1 on level-1 rows: the pair totals are a window over the (customer,
+    raw product) partition of *aggregated* rows — a pair holding a third of
+    all sales is a handful of rows per shipment day by now — and whole pairs
+    are dropped with the same rule as ``exclude_high_return``. Pairs with a
+    NULL key always survive (Q6)."""
+    w = Window.partitionBy("customer_id", "product_name")
+    n, r = F.sum("_n").over(w), F.sum("_r").over(w)
+    keyed = F.col("customer_id").isNotNull() & F.col("product_name").isNotNull()
+    bad = keyed & (n > min_rows) & (r * 100 >= F.lit(max_return_pct) * n)
+    return days.withColumn("_bad", bad).filter(~F.col("_bad")).drop("_bad")
+
+
+def summary_from_days(
+    days: DataFrame, packs: list[str] | None = None, canonical_rules: list[tuple[str, str]] | None = None
+) -> DataFrame:
+    """Levels 2 and 3: collapse the extra keys and raw names to (customer,
+    canonical product, day), then to (customer, canonical product) with the
+    values at the latest day (``max_by``); NULL keys are dropped here.
+
+    Without canonical rules the canonical name is a plain alias of the raw
+    one, so the (customer, raw product) partitioning of the C1 window already
+    satisfies both aggregates and Spark adds no exchange for them."""
+    packs = packs or []
+    named = days.withColumn("given_product_name", canonical_name("product_name", canonical_rules or []))
+    kept = named.filter(F.col("customer_id").isNotNull() & F.col("given_product_name").isNotNull())
+    day = kept.groupBy("customer_id", "given_product_name", "last_shipment_date").agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_sales").alias("_sales"),
+        F.max("_qty").alias("_qty"),
+        *[F.max(_pack_col(p)).alias(_pack_col(p)) for p in packs],
+    )
+    ship = F.col("last_shipment_date")
+    pair = day.groupBy("customer_id", "given_product_name").agg(
+        F.sum("_n").alias("frequency"),
+        F.coalesce(F.sum("_sales"), F.lit(0.0)).alias("monetary"),
+        F.max(ship).alias("last_shipment_date"),
+        F.max_by("_qty", ship).alias("product_qty"),
+        *[F.max_by(_pack_col(p), ship).alias(_pack_col(p)) for p in packs],
+    )
+    return pair.withColumnRenamed("given_product_name", "product_name")
+
+
 def rfm_from_summary(summary: DataFrame, as_of: Column, extra: list[Column] | None = None) -> DataFrame:
     """C2 columns from the summary: recency = floored days to ``as_of``,
     clamped at 0 (F6, F7); ``extra`` columns ride along."""
@@ -108,6 +177,19 @@ def calculate_rfm(
     return rfm_from_summary(pair_summary(prepare_sales(sales, canonical_rules)), as_of)
 
 
+def rfm_excluding_returns(
+    sales: DataFrame,
+    as_of: Column,
+    canonical_rules: list[tuple[str, str]] | None = None,
+    min_rows: int = 3,
+    max_return_pct: int = 50,
+) -> DataFrame:
+    """C1 → C2 in one scan: the return rule is decided on level-1 aggregates
+    instead of by a second pass over the sales rows (see ``day_rows``)."""
+    days = drop_high_return_days(day_rows(prepare_sales(sales)), min_rows, max_return_pct)
+    return rfm_from_summary(summary_from_days(days, canonical_rules=canonical_rules), as_of)
+
+
 def repeat_order_score(frequency: str | Column = "frequency") -> Column:
     """1→0, 2→1, 3→2, 4→3, 5→4, anything else → 5."""
     f = F.col(frequency) if isinstance(frequency, str) else frequency

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from custlens.functions.dates import ts_literal
 from custlens.operators.funnel import funnel_single_pack, funnel_two_pack
 from custlens.operators.returns import exclude_high_return
-from custlens.operators.rfm import calculate_rfm, pair_summary, prepare_sales, repeat_order_score
+from custlens.operators.rfm import repeat_order_score, rfm_excluding_returns
 from custlens.plans.registry import edge, query
 from custlens.sources import fixtures as fx
 
@@ -75,7 +75,7 @@ def _kept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rfm(spark: SparkSession, sf: str) -> DataFrame:
-    return calculate_rfm(_kept(spark, sf), _as_of())
+    return rfm_excluding_returns(fx.sales(spark, sf, geo=False), _as_of())
 
 
 # --- queries ----------------------------------------------------------------
@@ -194,7 +194,7 @@ FROM f""",
 )
 def q_funnel_two_pack(spark: SparkSession, sf: str) -> DataFrame:
     """C5 (W2, A7, A8, P9) with the pack table replacing the hard-coded branches."""
-    out = funnel_two_pack(_kept(spark, sf), fx.pack_days(spark, sf), _as_of())
+    out = funnel_two_pack(fx.sales(spark, sf, geo=False), fx.pack_days(spark, sf), _as_of(), exclude_returns=True)
     return edge(out, doubles=("qty_large", "qty_small"))
 
 
@@ -288,7 +288,7 @@ def _seg_chain_sql(body: str) -> str:
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     from custlens.plans.segments import rfm_with_funnel
 
-    return rfm_with_funnel(_kept(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
+    return rfm_with_funnel(fx.sales(spark, sf, geo=False), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
 
 
 @query(

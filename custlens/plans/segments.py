@@ -22,8 +22,15 @@ from pyspark.sql import functions as F
 
 from custlens.operators.common import bounded_broadcast
 from custlens.operators.funnel import MAX_CONFIG_ROWS, funnel_stage, pack_depletion_days
-from custlens.operators.returns import exclude_high_return
-from custlens.operators.rfm import pack_names, pair_summary, prepare_sales, repeat_order_score, rfm_from_summary
+from custlens.operators.rfm import (
+    day_rows,
+    drop_high_return_days,
+    pack_names,
+    prepare_sales,
+    repeat_order_score,
+    rfm_from_summary,
+    summary_from_days,
+)
 from custlens.operators.segment import hibernate, segment
 
 OUTPUT = (
@@ -39,29 +46,45 @@ OUTPUT = (
 )
 
 
-def rfm_with_funnel(
-    kept: DataFrame,
+def scored_pairs(
+    sales: DataFrame,
     as_of: Column,
     unit_days: DataFrame,
     pack_days: DataFrame | None = None,
     canonical_rules: list[tuple[str, str]] | None = None,
-) -> DataFrame:
-    """RFM per (customer, product) plus its funnel stage, from one aggregate.
+    extra_keys: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """RFM per (customer, product) plus its funnel stage, from *raw* sales in
+    one scan: C1 is decided on the level-1 aggregate. Returns the scored pairs
+    and the kept level-1 rows (which carry ``extra_keys`` for lookups).
 
     Products listed in ``pack_days`` use the two-pack estimate (C5), all others
     the single-pack one (C4) with ``unit_days``.
     """
     packs = pack_names(pack_days)
-    summary = pair_summary(prepare_sales(kept, canonical_rules), packs)
+    days = drop_high_return_days(day_rows(prepare_sales(sales), packs, extra_keys=extra_keys))
+    summary = summary_from_days(days, packs, canonical_rules)
     if packs:
         summary = pack_depletion_days(summary, pack_days, packs)
     else:
         summary = summary.withColumn("pack_days_total", F.lit(None).cast("int"))
-    days = bounded_broadcast(unit_days.select("product_name", "days_per_unit"), MAX_CONFIG_ROWS)
-    summary = summary.join(days, on="product_name", how="left")
+    days_cfg = bounded_broadcast(unit_days.select("product_name", "days_per_unit"), MAX_CONFIG_ROWS)
+    summary = summary.join(days_cfg, on="product_name", how="left")
     depletion_days = F.coalesce(F.col("pack_days_total"), F.col("product_qty") * F.col("days_per_unit"))
     depletion = F.col("last_shipment_date") + F.make_dt_interval(depletion_days.cast("int"))
-    return rfm_from_summary(summary, as_of, extra=[funnel_stage(depletion, as_of).alias("funnel")])
+    scored = rfm_from_summary(summary, as_of, extra=[funnel_stage(depletion, as_of).alias("funnel")])
+    return scored, days
+
+
+def rfm_with_funnel(
+    sales: DataFrame,
+    as_of: Column,
+    unit_days: DataFrame,
+    pack_days: DataFrame | None = None,
+    canonical_rules: list[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """C1 → C2 → C4/C5 from raw sales (see ``scored_pairs``)."""
+    return scored_pairs(sales, as_of, unit_days, pack_days, canonical_rules)[0]
 
 
 def customer_segments(
@@ -74,19 +97,20 @@ def customer_segments(
     seed: int = 42,
     canonical_rules: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """C8 end to end; ``method='kmeans'`` fits ``pyspark.ml`` K-Means per
-    product (M2), ``'grid'`` assigns to deterministic seeds (M2b)."""
-    kept = exclude_high_return(sales)
-    scored = rfm_with_funnel(kept, as_of, unit_days, pack_days, canonical_rules)
+    """C8 end to end from raw sales; ``method='kmeans'`` fits ``pyspark.ml``
+    K-Means per product (M2), ``'lloyd'`` refines all products together,
+    ``'grid'`` assigns to deterministic seeds (M2b)."""
+    scored, days = scored_pairs(
+        sales, as_of, unit_days, pack_days, canonical_rules, extra_keys=("province_id", "product_id")
+    )
     seg = segment(scored, k=k, method=method, seed=seed)
     seg = seg.withColumn("repeat_order", repeat_order_score("frequency"))
-    # Enrichment from distinct pairs of the kept rows; fans out when a key
-    # has two values, exactly like the reference's left merge (Q11). Both
-    # sides are aggregates of the data, so AQE picks the join strategy from
-    # their materialised sizes; in one plan the scan and the C1 shuffle are
-    # shared with the segment branch (ReusedExchange).
-    provinces = kept.select("customer_id", "province_id").distinct()
-    products = kept.select("product_name", "product_id").distinct()
+    # Enrichment from distinct pairs of the kept rows (taken from the kept
+    # level-1 aggregate, not a second scan); fans out when a key has two
+    # values, exactly like the reference's left merge (Q11). AQE picks the
+    # join strategy from the materialised sizes.
+    provinces = days.select("customer_id", "province_id").distinct()
+    products = days.select("product_name", "product_id").distinct()
     out = seg.join(provinces, on="customer_id", how="left")
     out = out.join(products, on="product_name", how="left")
     return hibernate(out).select(*OUTPUT)

@@ -55,9 +55,16 @@ def _with_geo(spark: SparkSession, base: str, df: DataFrame) -> DataFrame:
     return df.join(geo, df.o_custkey == geo.c_custkey, "left")
 
 
-def sales(spark: SparkSession, base: str) -> DataFrame:
-    """Sales lines of the segmentation ETL (FIXTURES §2)."""
-    df = _with_geo(spark, base, _orders_lines_parts(spark, base))
+def sales(spark: SparkSession, base: str, geo: bool = True) -> DataFrame:
+    """Sales lines of the segmentation ETL (FIXTURES §2). ``geo=False`` leaves
+    out the customer/nation lookup (province_id and region are NULL) for
+    queries that never read them: Catalyst cannot drop an unused outer join
+    by itself because it does not know the customer key is unique."""
+    df = _orders_lines_parts(spark, base)
+    if geo:
+        df = _with_geo(spark, base, df)
+    else:
+        df = df.withColumn("c_nationkey", F.lit(None).cast("int")).withColumn("n_name", F.lit(None).cast("string"))
     return df.select(
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_shipdate")).alias("last_shipment_date"),
