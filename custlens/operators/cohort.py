@@ -79,6 +79,14 @@ def cohort_matrix(revenue: DataFrame, value_col: str = "revenue", max_index: int
     """Wide matrix, one row per (product, cohort month), one column per
     cohort index. With ``max_index`` the columns are fixed (1..max_index) and
     no extra job lists the distinct indexes."""
-    grouped = revenue.groupBy("product_name", "cohort_month")
     values = list(range(1, max_index + 1)) if max_index else None
+    if values is None:
+        # Discovering the pivot columns is a job of its own; materialise the
+        # (small) long form once in the shared checkpoint folder so that job
+        # and the pivot both read it instead of recomputing the cohorts.
+        from custlens.session import checkpoint_dir
+
+        checkpoint_dir(revenue.sparkSession)
+        revenue = revenue.checkpoint(eager=True)
+    grouped = revenue.groupBy("product_name", "cohort_month")
     return grouped.pivot("cohort_index", values).agg(F.first(value_col))

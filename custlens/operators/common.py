@@ -12,16 +12,20 @@ class BroadcastTooLarge(ValueError):
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    ``known_rows`` is for literal configuration whose size is known by
-    construction (no job). Otherwise a ``limit(max_rows + 1).count()`` job
-    reads at most ``max_rows + 1`` rows. Above the bound the frame is returned
-    unhinted, so the planner falls back to a shuffle join (and AQE may still
-    broadcast it if the materialised side turns out small).
+    """Broadcast ``df`` only when its size is proven small.
+
+    * ``known_rows`` — configuration whose row count is known by construction
+      (a literal list): hinted for broadcast when it is at most ``max_rows``.
+    * otherwise no hint is added and Spark's own size checks decide: the
+      planner broadcasts a side whose estimated size is below
+      ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the
+      *materialised* size at runtime and converts the join then. Both fall
+      back to a shuffle join above the threshold, and neither costs a
+      separate counting job that would recompute the lineage.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
+    return df
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str | list[str], max_rows: int = 1_000_000) -> DataFrame:

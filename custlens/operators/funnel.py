@@ -67,7 +67,12 @@ def pack_depletion_days(summary: DataFrame, pack_days: DataFrame, packs: list[st
 
 
 def funnel_two_pack(
-    sales: DataFrame, pack_days: DataFrame, as_of: Column, canonical_rules=None, exclude_returns: bool = False
+    sales: DataFrame,
+    pack_days: DataFrame,
+    as_of: Column,
+    canonical_rules=None,
+    exclude_returns: bool = False,
+    packs: list[str] | None = None,
 ) -> DataFrame:
     """On each (customer, product)'s latest shipment day take the largest
     quantity per pack size, add quantity × days for every pack present, and
@@ -75,9 +80,11 @@ def funnel_two_pack(
 
     Output per (customer, product): last_shipment_date, one quantity column
     per pack (``qty_<pack>``), depletion_date, funnel. ``exclude_returns``
-    applies C1 inside the same aggregate (pass raw sales then).
+    applies C1 inside the same aggregate (pass raw sales then). ``packs``
+    lists the pack names when the caller knows them (else they are read from
+    ``pack_days``).
     """
-    packs = pack_names(pack_days)
+    packs = packs if packs is not None else pack_names(pack_days)
     if exclude_returns:
         # C1 decided on the level-1 aggregate: one scan of the sales rows.
         days = drop_high_return_days(day_rows(prepare_sales(sales), packs))

@@ -194,7 +194,9 @@ FROM f""",
 )
 def q_funnel_two_pack(spark: SparkSession, sf: str) -> DataFrame:
     """C5 (W2, A7, A8, P9) with the pack table replacing the hard-coded branches."""
-    out = funnel_two_pack(fx.sales(spark, sf, geo=False), fx.pack_days(spark, sf), _as_of(), exclude_returns=True)
+    out = funnel_two_pack(
+        fx.sales(spark, sf, geo=False), fx.pack_days(spark, sf), _as_of(), exclude_returns=True, packs=fx.PACKS
+    )
     return edge(out, doubles=("qty_large", "qty_small"))
 
 
@@ -288,7 +290,9 @@ def _seg_chain_sql(body: str) -> str:
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     from custlens.plans.segments import rfm_with_funnel
 
-    return rfm_with_funnel(fx.sales(spark, sf, geo=False), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
+    return rfm_with_funnel(
+        fx.sales(spark, sf, geo=False), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS
+    )
 
 
 @query(
@@ -353,7 +357,9 @@ def q_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
     (C3, C6, C7, J3, J4, U1, A9, P3, P4)."""
     from custlens.plans.segments import customer_segments
 
-    return customer_segments(fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf))
+    return customer_segments(
+        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS
+    )
 
 
 @query("kmeans_segments")
@@ -374,5 +380,5 @@ def q_customer_segments_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     from custlens.plans.segments import customer_segments
 
     return customer_segments(
-        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), method="lloyd"
+        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), method="lloyd", packs=fx.PACKS
     )

@@ -77,7 +77,7 @@ FROM documents""",
 )
 def q_overlength(spark: SparkSession, sf: str) -> DataFrame:
     """Words per document and the over-length flag (2048)."""
-    return flag_overlength(read_table(spark, sf, "documents", ["doc_id", "text"])).select("doc_id", "n_words", "over_length")
+    return flag_overlength(read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)).select("doc_id", "n_words", "over_length")
 
 
 _KEYWORDS = ["that", "und", "que"]
@@ -90,7 +90,7 @@ WHERE len(list_intersect(regexp_extract_all(lower(text), '{TOKEN_PATTERN}'), {_K
 )
 def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Documents containing any keyword as a whole word (no row cap)."""
-    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "text"])
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "text"], spread=True)
     return keyword_filter(docs, _KEYWORDS).select("doc_id", "lang", "source")
 
 
@@ -105,7 +105,7 @@ FROM documents""",
 )
 def q_text_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """text cleaning (lower, no URLs / mentions / symbols, one blank)."""
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)
     return docs.select("doc_id", clean_tweet("text").alias("cleaned"))
 
 

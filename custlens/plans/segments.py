@@ -53,6 +53,7 @@ def scored_pairs(
     pack_days: DataFrame | None = None,
     canonical_rules: list[tuple[str, str]] | None = None,
     extra_keys: tuple[str, ...] = (),
+    packs: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """RFM per (customer, product) plus its funnel stage, from *raw* sales in
     one scan: C1 is decided on the level-1 aggregate. Returns the scored pairs
@@ -61,7 +62,8 @@ def scored_pairs(
     Products listed in ``pack_days`` use the two-pack estimate (C5), all others
     the single-pack one (C4) with ``unit_days``.
     """
-    packs = pack_names(pack_days)
+    if packs is None:
+        packs = pack_names(pack_days)
     days = drop_high_return_days(day_rows(prepare_sales(sales), packs, extra_keys=extra_keys))
     summary = summary_from_days(days, packs, canonical_rules)
     if packs:
@@ -82,9 +84,10 @@ def rfm_with_funnel(
     unit_days: DataFrame,
     pack_days: DataFrame | None = None,
     canonical_rules: list[tuple[str, str]] | None = None,
+    packs: list[str] | None = None,
 ) -> DataFrame:
     """C1 → C2 → C4/C5 from raw sales (see ``scored_pairs``)."""
-    return scored_pairs(sales, as_of, unit_days, pack_days, canonical_rules)[0]
+    return scored_pairs(sales, as_of, unit_days, pack_days, canonical_rules, packs=packs)[0]
 
 
 def customer_segments(
@@ -96,12 +99,13 @@ def customer_segments(
     method: str = "grid",
     seed: int = 42,
     canonical_rules: list[tuple[str, str]] | None = None,
+    packs: list[str] | None = None,
 ) -> DataFrame:
     """C8 end to end from raw sales; ``method='kmeans'`` fits ``pyspark.ml``
     K-Means per product (M2), ``'lloyd'`` refines all products together,
     ``'grid'`` assigns to deterministic seeds (M2b)."""
     scored, days = scored_pairs(
-        sales, as_of, unit_days, pack_days, canonical_rules, extra_keys=("province_id", "product_id")
+        sales, as_of, unit_days, pack_days, canonical_rules, extra_keys=("province_id", "product_id"), packs=packs
     )
     seg = segment(scored, k=k, method=method, seed=seed)
     seg = seg.withColumn("repeat_order", repeat_order_score("frequency"))

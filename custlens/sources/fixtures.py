@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.operators.common import bounded_broadcast
 from custlens.sources.tables import read_table
 
 # As-of instants used by the registered queries (the reference
@@ -21,6 +20,7 @@ SEGMENT_AS_OF = "2001-08-01 00:00:00"
 CHURN_AS_OF = "2001-06-01 00:00:00"
 # The configuration tables' rules.
 PACK_DAYS = (("small", 6), ("large", 10))
+PACKS = sorted(p for p, _ in PACK_DAYS)
 TARGET_BONUS = 10
 KPI_PRODUCTS = 5
 
@@ -50,7 +50,8 @@ def _orders_lines_parts(spark: SparkSession, base: str) -> DataFrame:
 
 def _with_geo(spark: SparkSession, base: str, df: DataFrame) -> DataFrame:
     customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
-    nation = bounded_broadcast(read_table(spark, base, "nation", ["n_nationkey", "n_name"]), max_rows=10_000)
+    # nation is a fixed 25-row dimension; the planner broadcasts it by size.
+    nation = read_table(spark, base, "nation", ["n_nationkey", "n_name"])
     geo = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
     return df.join(geo, df.o_custkey == geo.c_custkey, "left")
 
@@ -190,7 +191,7 @@ def targets(spark: SparkSession) -> DataFrame:
 def instructions(spark: SparkSession, base: str) -> DataFrame:
     """Instruction rows from documents: language → instruction, whole text →
     input, source → output."""
-    docs = read_table(spark, base, "documents", ["doc_id", "text", "lang", "source"])
+    docs = read_table(spark, base, "documents", ["doc_id", "text", "lang", "source"], spread=True)
     return docs.select(
         "doc_id",
         F.col("lang").alias("instruction"),

@@ -12,11 +12,33 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None, spread: bool = False
+) -> DataFrame:
     """Read ``<base_dir>/<name>.parquet``; selecting ``columns`` early keeps the
-    scan's ReadSchema narrow even before Catalyst prunes."""
+    scan's ReadSchema narrow even before Catalyst prunes.
+
+    ``spread`` is for fact tables: when the files give fewer scan tasks than
+    the cluster has cores (one large file with a single row group is read by
+    one task), the rows are spread round-robin right after the scan so the
+    joins and partial aggregations that follow use every core. On a lake
+    with many files the scan already has enough tasks and nothing is added.
+    """
     df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        df = spread_scan(df)
+    return df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the scan is narrower than the
+    default parallelism (see ``read_table``)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_jdbc(
