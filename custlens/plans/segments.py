@@ -32,6 +32,7 @@ from custlens.operators.rfm import (
     summary_from_days,
 )
 from custlens.operators.segment import hibernate, segment
+from custlens.session import checkpoint_dir
 
 OUTPUT = (
     "customer_id",
@@ -46,25 +47,32 @@ OUTPUT = (
 )
 
 
-def scored_pairs(
+def kept_days(
     sales: DataFrame,
+    pack_days: DataFrame | None = None,
+    extra_keys: tuple[str, ...] = (),
+    packs: list[str] | None = None,
+) -> DataFrame:
+    """Level-1 rows (customer, raw product, day, *extra_keys) of the pairs C1
+    keeps, from *raw* sales in one scan (see ``rfm.day_rows``)."""
+    if packs is None:
+        packs = pack_names(pack_days)
+    return drop_high_return_days(day_rows(prepare_sales(sales), packs, extra_keys=extra_keys))
+
+
+def scored_from_days(
+    days: DataFrame,
     as_of: Column,
     unit_days: DataFrame,
     pack_days: DataFrame | None = None,
     canonical_rules: list[tuple[str, str]] | None = None,
-    extra_keys: tuple[str, ...] = (),
     packs: list[str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """RFM per (customer, product) plus its funnel stage, from *raw* sales in
-    one scan: C1 is decided on the level-1 aggregate. Returns the scored pairs
-    and the kept level-1 rows (which carry ``extra_keys`` for lookups).
-
-    Products listed in ``pack_days`` use the two-pack estimate (C5), all others
-    the single-pack one (C4) with ``unit_days``.
-    """
+) -> DataFrame:
+    """RFM per (customer, product) plus its funnel stage from kept level-1
+    rows. Products listed in ``pack_days`` use the two-pack estimate (C5),
+    all others the single-pack one (C4) with ``unit_days``."""
     if packs is None:
         packs = pack_names(pack_days)
-    days = drop_high_return_days(day_rows(prepare_sales(sales), packs, extra_keys=extra_keys))
     summary = summary_from_days(days, packs, canonical_rules)
     if packs:
         summary = pack_depletion_days(summary, pack_days, packs)
@@ -74,8 +82,23 @@ def scored_pairs(
     summary = summary.join(days_cfg, on="product_name", how="left")
     depletion_days = F.coalesce(F.col("pack_days_total"), F.col("product_qty") * F.col("days_per_unit"))
     depletion = F.col("last_shipment_date") + F.make_dt_interval(depletion_days.cast("int"))
-    scored = rfm_from_summary(summary, as_of, extra=[funnel_stage(depletion, as_of).alias("funnel")])
-    return scored, days
+    return rfm_from_summary(summary, as_of, extra=[funnel_stage(depletion, as_of).alias("funnel")])
+
+
+def scored_pairs(
+    sales: DataFrame,
+    as_of: Column,
+    unit_days: DataFrame,
+    pack_days: DataFrame | None = None,
+    canonical_rules: list[tuple[str, str]] | None = None,
+    extra_keys: tuple[str, ...] = (),
+    packs: list[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Scored pairs and the kept level-1 rows, lazily (no materialisation)."""
+    if packs is None:
+        packs = pack_names(pack_days)
+    days = kept_days(sales, pack_days, extra_keys, packs)
+    return scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs), days
 
 
 def rfm_with_funnel(
@@ -104,9 +127,19 @@ def customer_segments(
     """C8 end to end from raw sales; ``method='kmeans'`` fits ``pyspark.ml``
     K-Means per product (M2), ``'lloyd'`` refines all products together,
     ``'grid'`` assigns to deterministic seeds (M2b)."""
+    checkpoint_dir(sales.sparkSession)
     scored, days = scored_pairs(
         sales, as_of, unit_days, pack_days, canonical_rules, extra_keys=("province_id", "product_id"), packs=packs
     )
+    # Both tables feed several branches (scaling statistics, seeds, the
+    # assignment, cluster medians, the output and the two lookups). Each
+    # branch prunes different columns, so Spark cannot reuse one shuffle for
+    # all of them and would re-scan the sales once per branch. Writing them
+    # once to the shared checkpoint folder makes one scan of the sales
+    # enough, and cuts the lineage: a lost executor re-reads files instead
+    # of recomputing the aggregates.
+    days = days.checkpoint(eager=True)
+    scored = scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs).checkpoint(eager=True)
     seg = segment(scored, k=k, method=method, seed=seed)
     seg = seg.withColumn("repeat_order", repeat_order_score("frequency"))
     # Enrichment from distinct pairs of the kept rows (taken from the kept
