@@ -75,17 +75,31 @@ def label_sum(labelled: DataFrame, value_col: str, product_col: str = "product")
     return labelled.groupBy(product_col, "churn").agg(F.coalesce(F.sum(value_col), F.lit(0)).alias(f"sum_{value_col}"))
 
 
-def column_summary(labelled: DataFrame, col: str) -> DataFrame:
+def column_summary(labelled: DataFrame, cols: str | list[str]) -> DataFrame:
     """A10: whole-table mean (truncated to an integer), exact median, mode
-    (smallest on ties), min and max of one column; NULLs are skipped."""
-    c = F.col(col)
-    return labelled.agg(
-        F.avg(c).cast("bigint").alias("mean"),
-        F.median(c).alias("median"),
-        F.mode(c, deterministic=True).alias("mode"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-    ).select(F.lit(col).alias("column_name"), "*")
+    (smallest on ties), min and max of each column in ``cols``; NULLs are
+    skipped. All columns are summarised in one aggregate pass and stacked
+    into one row per column."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    aggs = []
+    for c in cols:
+        x = F.col(c)
+        aggs += [
+            F.avg(x).cast("bigint").alias(f"{c}__mean"),
+            F.median(x).alias(f"{c}__median"),
+            F.mode(x, deterministic=True).alias(f"{c}__mode"),
+            F.min(x).alias(f"{c}__min"),
+            F.max(x).alias(f"{c}__max"),
+        ]
+    wide = labelled.agg(*aggs)
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            *[F.col(f"{c}__{m}").alias(m) for m in ("mean", "median", "mode", "min", "max")],
+        )
+        for c in cols
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def valid_intervals(labelled: DataFrame, invalid_as_zero: bool = True) -> DataFrame:
@@ -125,27 +139,30 @@ def interval_box(labelled: DataFrame, product_col: str = "product", invalid_as_z
     Tukey fences at 1.5·IQR, whiskers at the most extreme values inside the
     fences, and the number of points outside them.
 
-    The second pass runs over per-value counts joined to the per-product
-    quartiles (one row per product), not over the raw rows.
+    Everything comes from one per-(product, value) histogram, read once: the
+    quartiles are ``percentile`` weighted by the counts (exact, the same as
+    over the rows) evaluated as a window over each product's histogram rows
+    (distinct values, not rows), then one aggregate gives the whiskers.
     """
     v = valid_intervals(labelled, invalid_as_zero)
-    counts = v.groupBy(product_col, "interval").agg(F.count(F.lit(1)).alias("_n"))
-    q = v.groupBy(product_col).agg(F.percentile("interval", [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(
+    hist = v.groupBy(product_col, "interval").agg(F.count(F.lit(1)).alias("_n"))
+    quart = F.percentile("interval", [0.25, 0.5, 0.75], F.col("_n")).over(Window.partitionBy(product_col))
+    h = hist.withColumn("_q", quart).select(
         product_col,
+        "interval",
+        "_n",
         F.col("_q")[0].alias("q1"),
         F.col("_q")[1].alias("median"),
         F.col("_q")[2].alias("q3"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
-    q = q.withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    joined = counts.join(q, on=product_col)
+    )
+    iqr = F.col("q3") - F.col("q1")
     x = F.col("interval")
-    inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    return joined.groupBy(product_col, "q1", "median", "q3", "iqr").agg(
+    inside = (x >= F.col("q1") - 1.5 * iqr) & (x <= F.col("q3") + 1.5 * iqr)
+    return h.groupBy(product_col, "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
-    )
+    ).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def interval_histogram(

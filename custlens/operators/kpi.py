@@ -39,16 +39,27 @@ def integrate(activity: DataFrame, staff: DataFrame) -> DataFrame:
     return activity.join(names, on="staff_id", how="left")
 
 
-def split_valid(activity: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with a ``reason``). The first failing
-    rule names the reason; every input row lands in exactly one output."""
-    reason = (
+def reject_reason() -> F.Column:
+    """The first failing validity rule, NULL for a valid row."""
+    return (
         F.when(F.col("ts").isNull(), F.lit("missing_ts"))
         .when(F.col("staff_id").isNull(), F.lit("missing_staff"))
         .when(F.col("event_type").isNull(), F.lit("missing_event_type"))
         .when(F.col("product").isNull(), F.lit("bad_props"))
     )
-    tagged = activity.withColumn("reason", reason)
+
+
+def validity_counts(activity: DataFrame) -> DataFrame:
+    """G2 summary in one pass: rows per outcome (``valid`` or the reason)."""
+    return activity.groupBy(F.coalesce(reject_reason(), F.lit("valid")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def split_valid(activity: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with a ``reason``). The first failing
+    rule names the reason; every input row lands in exactly one output."""
+    tagged = activity.withColumn("reason", reject_reason())
     return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull())
 
 

@@ -234,8 +234,7 @@ FROM labelled"""
 )
 def q_interval_summary(spark: SparkSession, sf: str) -> DataFrame:
     """A10 for the estimated depletion days and the interval."""
-    df = _labelled(spark, sf)
-    return rep.column_summary(df, "depletion_days").unionByName(rep.column_summary(df, "interval"))
+    return rep.column_summary(_labelled(spark, sf), ["depletion_days", "interval"])
 
 
 _VALID_SQL = ", vi AS (SELECT product, CAST(coalesce(interval, 0) AS BIGINT) AS interval FROM labelled)\n"

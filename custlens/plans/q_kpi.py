@@ -143,6 +143,4 @@ FROM staff_activity GROUP BY ALL""",
 )
 def q_event_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per validity outcome (valid + rejects = input)."""
-    valid, rejects = kpi.split_valid(fx.staff_activity(spark, sf))
-    both = valid.select(F.lit("valid").alias("reason")).unionByName(rejects.select("reason"))
-    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return kpi.validity_counts(fx.staff_activity(spark, sf))

@@ -288,11 +288,16 @@ def _seg_chain_sql(body: str) -> str:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored pairs, materialised once: the segment queries read them in
+    several branches (statistics, seeds, assignment, medians)."""
     from custlens.plans.segments import rfm_with_funnel
+    from custlens.session import checkpoint_dir
 
-    return rfm_with_funnel(
+    checkpoint_dir(spark)
+    scored = rfm_with_funnel(
         fx.sales(spark, sf, geo=False), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS
     )
+    return scored.checkpoint(eager=True)
 
 
 @query(
