@@ -53,6 +53,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in value_cols])
 
 
+def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """O2: the first ``n`` rows under a *total* order (``head()`` of a frame
+    whose row order pandas keeps implicitly). Spark plans it as a top-k:
+    each task keeps its own n best rows before one small merge."""
+    return df.orderBy(*order).limit(n)
+
+
 def value_counts(df: DataFrame, cols: list[str], name: str = "n") -> DataFrame:
     """Row count per value (combination), largest first."""
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))

@@ -111,3 +111,20 @@ def q_cohort_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The wide cohort_month × cohort_index matrix (S5 writes it as CSV)."""
     rev = _revenue(spark, sf).withColumn("revenue", F.round("revenue", 2))
     return edge(cohort_matrix(rev))
+
+
+@query(
+    "cohort_preview",
+    fx.with_fixtures(
+        _cells_sql()
+        + """
+SELECT product_name, cohort_month, cohort_index, round(revenue, 2) AS revenue, customers FROM cells
+ORDER BY product_name, cohort_month, cohort_index LIMIT 5""",
+        "cohort_sales",
+    ),
+)
+def q_cohort_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """O2: the notebook's ``head()`` of the cohort table, under a total order."""
+    from custlens.operators.common import preview
+
+    return preview(_report(_revenue(spark, sf)), ["product_name", "cohort_month", "cohort_index"])

@@ -137,3 +137,32 @@ def test_operational_day(spark):
     df = spark.createDataFrame([(D(2024, 5, 31, 12, 30, 59),), (D(2024, 5, 31, 12, 31, 0),)], "ts timestamp_ntz")
     got = [r[0] for r in df.select(operational_day("ts")).collect()]
     assert got == [dt.date(2024, 5, 30), dt.date(2024, 5, 31)]
+
+
+def test_receipt_only_missing_flag(spark):
+    eta = spark.createDataFrame([("x", 2, 1)], "region string, eta_days int, priority int")
+    cust = spark.createDataFrame(
+        [("X", "2024-01-01", dt.date(2024, 1, 10)), ("X", "2024-01-01", None)],
+        "region string, invoice_date string, receipt_date date",
+    )
+    overwrite = [r["receipt_date"] for r in receipt_dates(cust, eta).collect()]
+    keep = [r["receipt_date"] for r in receipt_dates(cust, eta, only_missing=True).collect()]
+    assert overwrite == [dt.date(2024, 1, 3), dt.date(2024, 1, 3)]
+    assert keep == [dt.date(2024, 1, 10), dt.date(2024, 1, 3)]
+
+
+def test_keyword_filter_date_range_and_cap(spark):
+    from custlens.operators.textprep import keyword_filter
+
+    rows = [
+        (1, D(2024, 1, 1), "I love #vegan food"),
+        (2, D(2024, 3, 1), "#Vegan again"),
+        (3, D(2024, 9, 1), "#vegan too late"),
+        (4, D(2024, 2, 1), "nonvegan words only"),
+        (5, D(2024, 2, 2), "#plantbased lunch"),
+    ]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, text string")
+    hits = keyword_filter(df, ["#vegan", "#plantbased"], ts_col="ts", since="2024-01-01", until="2024-08-15")
+    assert sorted(r["id"] for r in hits.collect()) == [1, 2, 5]
+    capped = keyword_filter(df, ["#vegan", "#plantbased"], ts_col="ts", since="2024-01-01", until="2024-08-15", limit=2, order_by=["id"])
+    assert [r["id"] for r in capped.collect()] == [1, 2]
