@@ -54,14 +54,23 @@ def fill_missing_shipment(ship: ColumnOrName, invoice: ColumnOrName, days: int =
     return F.coalesce(_col(ship), _col(invoice) + F.make_dt_interval(F.lit(days)))
 
 
+def _seconds_of_day(ts: Column) -> Column:
+    """Seconds since midnight of a wall-clock timestamp, with the fraction."""
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
+
+
 def elapsed_days(ts: ColumnOrName, as_of: Column) -> Column:
     """whole days from ``ts`` to ``as_of``, floored (Python timedelta.days).
 
-    ``timestampdiff(DAY)`` truncates toward zero, so the microsecond difference
-    is floored instead.
+    Computed on the wall clock — calendar-day difference plus the difference
+    of the times of day — so it never depends on the session time zone
+    (``timestampdiff`` converts TIMESTAMP_NTZ to a zoned timestamp, which
+    loses or gains an hour across a daylight-saving change). Floored, since
+    ``timestampdiff(DAY)`` would truncate toward zero.
     """
-    micros = F.timestamp_diff("MICROSECOND", _col(ts), as_of)
-    return F.floor(micros / F.lit(86_400_000_000)).cast("bigint")
+    t = _col(ts)
+    seconds = F.datediff(F.to_date(as_of), F.to_date(t)) * F.lit(86_400) + (_seconds_of_day(as_of) - _seconds_of_day(t))
+    return F.floor(seconds / F.lit(86_400)).cast("bigint")
 
 
 def month_start(c: ColumnOrName) -> Column:
@@ -76,8 +85,9 @@ def month_index(later: ColumnOrName, first: ColumnOrName) -> Column:
 
 
 def format_ymd(c: ColumnOrName) -> Column:
-    """format as ``YYYY-MM-DD``."""
-    return F.date_format(_col(c), "yyyy-MM-dd")
+    """format as ``YYYY-MM-DD`` (through DATE, so no time zone is
+    involved, unlike ``date_format`` on a TIMESTAMP_NTZ)."""
+    return F.to_date(_col(c)).cast("string")
 
 
 def months_before(as_of: Column, months: int) -> Column:
@@ -119,5 +129,5 @@ def operational_day(ts: ColumnOrName, start_hour: int = 12, start_minute: int =
 
 
 def hour_label(ts: ColumnOrName) -> Column:
-    """``HH:00`` of the hour the event falls in."""
-    return F.date_format(F.date_trunc("HOUR", _col(ts)), "HH:00")
+    """``HH:00`` of the hour the event falls in (wall clock, no time zone)."""
+    return F.format_string("%02d:00", F.hour(_col(ts)))

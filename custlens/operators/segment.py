@@ -149,7 +149,7 @@ def kmeans_centroids(
     assembler = VectorAssembler(inputCols=zs, outputCol="features")
 
     def fit(g):
-        part = assembler.transform(table.filter(F.col(group_col) == g).orderBy("customer_id"))
+        part = assembler.transform(table.filter(F.col(group_col) == g).sortWithinPartitions("customer_id"))
         model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(part)
         return [(g, i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
 

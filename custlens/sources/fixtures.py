@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custlens.functions.dates import format_ymd
 from custlens.sources.tables import read_table
 
 # As-of instants used by the registered queries (the reference
@@ -30,7 +31,7 @@ def _product_id(brand: F.Column) -> F.Column:
 
 
 def _ymd(ts: F.Column) -> F.Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    return format_ymd(ts)
 
 
 def _orders_lines_parts(spark: SparkSession, base: str) -> DataFrame:

@@ -101,3 +101,30 @@ def test_safe_int_matches_pandas(spark, values):
     got = [r[0] for r in df.select(safe_int("v")).collect()]
     want = pd.to_numeric(pd.Series(values, dtype=object), errors="coerce").fillna(0).astype(int).tolist()
     assert got == want
+
+
+def test_day_arithmetic_ignores_session_time_zone(spark):
+    """Wall-clock rules must not move when the session zone has DST."""
+    from custlens.functions.dates import hour_label, operational_day
+
+    rows = [
+        (dt.datetime(2001, 3, 1, 0, 0), dt.datetime(2001, 8, 1, 0, 0)),
+        (dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 11, 2, 29, 59)),
+        (dt.datetime(2024, 11, 3, 1, 30), dt.datetime(2024, 11, 4, 1, 30)),
+    ]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, as_of timestamp_ntz")
+    cols = [
+        elapsed_days("ts", F.col("as_of")).alias("d"),
+        hour_label("ts").alias("h"),
+        operational_day("ts").alias("o"),
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = [tuple(r) for r in df.select(*cols).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    utc = [tuple(r) for r in df.select(*cols).collect()]
+    assert la == utc
+    assert [r[0] for r in utc] == [(b - a).days for a, b in rows]
+    assert [r[1] for r in utc] == ["00:00", "02:00", "01:00"]
