@@ -78,6 +78,35 @@ def transcripts(
     return df.withColumn("messages", trimmed)
 
 
+def transcript_messages(
+    turns: DataFrame,
+    conv_col: str = "conv_id",
+    order_col: str = "turn",
+    role_col: str = "role",
+    text_col: str = "text",
+    drop_trailing_empty: str = "assistant",
+) -> DataFrame:
+    """C17 in long form: one row per message (conv_id, turn, role, content),
+    the trailing empty reply removed — without gathering a conversation.
+
+    The last turn of each conversation is a ``max_by`` aggregate (combines
+    map-side, so a conversation holding a third of all turns is one partial
+    row per task); the turns to drop are then removed with an anti-join, which
+    AQE splits if one conversation is hot. ``transcripts`` builds the
+    per-conversation array a chat template needs from the same rule.
+    """
+    last = turns.groupBy(conv_col).agg(
+        F.max(order_col).alias("_last"),
+        F.max_by(F.struct(F.col(role_col).alias("r"), F.col(text_col).alias("t")), F.col(order_col)).alias("_m"),
+    )
+    empty = F.coalesce(F.col("_m.t"), F.lit("")) == ""
+    drop = last.filter((F.col("_m.r") == drop_trailing_empty) & empty).select(
+        F.col(conv_col).alias("_c"), F.col("_last").alias("_t")
+    )
+    kept = turns.join(drop, (F.col(conv_col) == F.col("_c")) & (F.col(order_col) == F.col("_t")), "left_anti")
+    return kept.select(conv_col, order_col, F.col(role_col).alias("role"), F.col(text_col).alias("content"))
+
+
 def render_transcript(messages: Column, sep: str = "\n") -> Column:
     """The message list as one string, ``role: content`` per line."""
     return F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), m["content"])), sep)

@@ -15,6 +15,7 @@ from custlens.operators.textprep import (
     keyword_filter,
     render_transcript,
     strip_eos,
+    transcript_messages,
     transcripts,
     with_prompt_text,
 )
@@ -69,6 +70,18 @@ def q_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("conv_id", F.size("messages").alias("n_messages"), render_transcript(F.col("messages")).alias("transcript"))
 
 
+@query(
+    "transcript_messages",
+    """SELECT conv_id, turn, role, text AS content
+FROM (SELECT * FROM conversations
+      QUALIFY NOT (row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
+                   AND role = 'assistant' AND coalesce(text, '') = ''))""",
+)
+def q_transcript_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """C17 long form: ordered messages, one row each, no per-conversation gather."""
+    return transcript_messages(read_table(spark, sf, "conversations"))
+
+
 @query(
     "overlength",
     """SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS INTEGER) AS n_words,

@@ -166,3 +166,14 @@ def test_keyword_filter_date_range_and_cap(spark):
     assert sorted(r["id"] for r in hits.collect()) == [1, 2, 5]
     capped = keyword_filter(df, ["#vegan", "#plantbased"], ts_col="ts", since="2024-01-01", until="2024-08-15", limit=2, order_by=["id"])
     assert [r["id"] for r in capped.collect()] == [1, 2]
+
+
+def test_chat_long_form(spark):
+    from custlens.operators.textprep import transcript_messages
+
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "u1"), (1, 1, "assistant", "a1"), (1, 2, "user", "u2"), (1, 3, "assistant", ""), (2, 0, "user", "x")],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    got = sorted((r["conv_id"], r["turn"]) for r in transcript_messages(turns).collect())
+    assert got == [(1, 0), (1, 1), (1, 2), (2, 0)]
