@@ -67,7 +67,11 @@ GROUP BY conv_id""",
 def q_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     """C17: ordered role/content messages per conversation, rendered."""
     t = transcripts(read_table(spark, sf, "conversations"))
-    return t.select("conv_id", F.size("messages").alias("n_messages"), render_transcript(F.col("messages")).alias("transcript"))
+    return t.select(
+        "conv_id",
+        F.size("messages").cast("bigint").alias("n_messages"),
+        render_transcript(F.col("messages")).alias("transcript"),
+    )
 
 
 @query(
