@@ -153,8 +153,13 @@ def kmeans_centroids(
         model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(part)
         return [(g, i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-        rows = [r for rs in pool.map(fit, groups) for r in rs]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
+            rows = [r for rs in pool.map(fit, groups) for r in rs]
+    finally:
+        from custlens.sources.files import delete_path
+
+        delete_path(spark, path)
     schema = f"{group_col} string, cluster int, " + ", ".join(f"{z} double" for z in zs)
     return spark.createDataFrame(rows, schema), len(groups)
 

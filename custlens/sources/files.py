@@ -77,6 +77,13 @@ def _fs_and_path(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder (recursive) on whatever file system holds it."""
+    fs, target = _fs_and_path(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)
+
+
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """S4 for a lake table: write the new contents beside the old, then swap
     directories, so a failed write never leaves an empty table (Q20)."""
