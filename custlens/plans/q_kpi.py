@@ -144,3 +144,19 @@ FROM staff_activity GROUP BY ALL""",
 def q_event_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per validity outcome (valid + rejects = input)."""
     return kpi.validity_counts(fx.staff_activity(spark, sf))
+
+
+@query(
+    "event_rejects",
+    fx.with_fixtures(
+        """SELECT event_id, CASE WHEN ts IS NULL THEN 'missing_ts' WHEN staff_id IS NULL THEN 'missing_staff'
+                      WHEN event_type IS NULL THEN 'missing_event_type' ELSE 'bad_props' END AS reason
+FROM staff_activity
+WHERE ts IS NULL OR staff_id IS NULL OR event_type IS NULL OR product IS NULL""",
+        "staff_activity",
+    ),
+)
+def q_event_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The rejected activity rows with their reason."""
+    _, rejects = kpi.split_valid(fx.staff_activity(spark, sf))
+    return rejects.select("event_id", "reason")

@@ -175,3 +175,18 @@ def q_product_canonical(spark: SparkSession, sf: str) -> DataFrame:
     """ordered case-insensitive contains rules → canonical names."""
     part = read_table(spark, sf, "part", ["p_partkey", "p_brand"])
     return edge(part.select("p_partkey", "p_brand", canonical_name("p_brand", _CANON_RULES).alias("given_product_name")))
+
+
+@query("train_split", fx.with_fixtures(f"SELECT doc_id, {_PROMPT_SQL} AS text FROM instructions", "instructions"))
+def q_train_split(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 → S7: the prepared training rows are published as the ``train``
+    split (JSON lines, in the shared checkpoint folder) and that split is
+    loaded back; only its partition directory is read."""
+    import uuid
+
+    from custlens.operators.textprep import load_split, publish
+    from custlens.session import scratch_path
+
+    path = scratch_path(spark, f"published-{uuid.uuid4().hex}")
+    publish(with_prompt_text(fx.instructions(spark, sf)).select("doc_id", "text"), path, split="train")
+    return load_split(spark, path, "train", schema="doc_id bigint, text string")
