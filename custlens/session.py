@@ -13,9 +13,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Size post-shuffle partitions by bytes (advisoryPartitionSizeInBytes)
-    # instead of keeping the default parallelism: fewer, fuller tasks.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
