@@ -123,7 +123,8 @@ def drop_high_return_days(days: DataFrame, min_rows: int = 3, max_return_pct: in
     n, r = F.sum("_n").over(w), F.sum("_r").over(w)
     keyed = F.col("customer_id").isNotNull() & F.col("product_name").isNotNull()
     bad = keyed & (n > min_rows) & (r * 100 >= F.lit(max_return_pct) * n)
-    return days.withColumn("_bad", bad).filter(~F.col("_bad")).drop("_bad")
+    # The return count has done its job; later levels never read it.
+    return days.withColumn("_bad", bad).filter(~F.col("_bad")).drop("_bad", "_r")
 
 
 def summary_from_days(
