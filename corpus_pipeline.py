@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custlens.llm import mixing, quality, sharding
 from custlens.llm.common import stage, table
+from custlens.llm.queries import importable
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +42,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

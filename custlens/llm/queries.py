@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import mixing, quality, secret_scan, sharding, token_counts, warc
+from custlens.llm import mixing, ngram_join, quality, secret_scan, sharding, token_counts, warc
 from custlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from any working folder.
+
+    On a cluster the package is submitted with the job, as any Python dependency.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -48,3 +64,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
