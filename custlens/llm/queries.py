@@ -9,7 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import mixing, ngram_join, quality, secret_scan, sharding, token_counts, warc
+from custlens.llm import (
+    fm_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from custlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +79,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.deduplicated(table(spark, sf_dir, "documents"))
