@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import mixing, quality, sharding
+from custlens.llm import decontamination, mixing, ngram_join, quality, sharding
 from custlens.llm.common import stage, table
 from custlens.llm.queries import importable
 
@@ -21,6 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept(docs)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed(docs)
@@ -33,6 +43,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]

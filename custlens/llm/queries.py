@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.llm import (
+    decontamination,
     fm_dedup,
     mixing,
     ngram_join,
@@ -89,3 +90,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

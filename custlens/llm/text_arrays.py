@@ -63,9 +63,11 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np
         row = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of each word, a maximal run without the six blanks; rows end words."""
-    inside = ~BLANK[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of each word, a maximal run without the bytes in ``blank``; rows end words."""
+    inside = ~blank[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.concatenate([[True], ~inside[:-1]])[: len(data)] | edge[:-1]
@@ -90,9 +92,11 @@ def run_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return mixed(moved + (ends - starts).astype(U64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, ...]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = BLANK
+) -> tuple[np.ndarray, ...]:
     """(start, end, row, hash) of each word."""
-    starts, ends, rows = word_spans(data, offsets)
+    starts, ends, rows = word_spans(data, offsets, blank)
     return starts, ends, rows, run_hash(prefix_hash(data, lower), starts, ends)
 
 
