@@ -1,0 +1,335 @@
+import gzip
+import hashlib
+import os
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from custlens.llm import decontamination, mixing, quality, secret_scan, sharding, token_counts, warc
+from custlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, SLOT int, quality string, mix_id int"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EDGES = [None, "", " \n\t ", "x", "a\x0bb \xa0c", "the " * 300, "a b c a b c", "l1 x\nl1 x\n\nl1 x \n", "#$ %& <|>", "Ünï 中文"]
+
+
+def docs(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    rows = [(i, t, ["en", None, "xx", "de"][n % 4], [None, "b", "a"][n % 3], 1, "q", 2) for n, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def sample(spark, n=60):
+    return [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(n).collect()]
+
+
+# --- 1 -----------------------------------------------------------------------
+
+
+def test_leaks_are_found_and_clean_documents_stay(spark):
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()][:8]
+    plain = [t for t in sample(spark) if not any(i in t for i in items)][:20]
+    edited = items[1].split()
+    edited[len(edited) // 3] = "other"
+    texts = [*plain, f"{plain[0]} {items[0]} {plain[1]}", f"{plain[2]} {' '.join(edited)}", items[2].upper(), None, "", items[3] + " " + items[4]]
+    bench = spark.createDataFrame([*enumerate(items), (90, None), (91, ""), (92, "!?")], "item_id long, text string")
+    frame = docs(spark, texts)
+    n = len(plain)
+    want = {(n, 0), (n + 1, 1), (n + 2, 2), (n + 5, 3), (n + 5, 4)}
+    for block in (decontamination.BLOCK_BYTES, 200):
+        got = {(r.doc_id, r.item_id) for r in decontamination.leaks(frame, bench, block_bytes=block).collect()}
+        assert got == want
+    kept = decontamination.clean(frame, bench)
+    assert kept.columns == frame.columns
+    assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in want}
+    assert decontamination.clean(frame, bench.limit(0)).count() == len(texts)
+    assert decontamination.leaks(frame.limit(0), bench).count() == 0
+
+
+def slow_alignment(item, passage):
+    d, i_, best = decontamination, range(len(item)), 0
+    h = np.zeros((len(item) + 1, len(passage) + 1), int)
+    for i in i_:
+        for j in range(len(passage)):
+            s = d.MATCH if item[i] == passage[j] else d.MISMATCH
+            h[i + 1, j + 1] = max(0, h[i, j] + s, h[i, j + 1] + d.GAP, h[i + 1, j] + d.GAP)
+            best = max(best, h[i + 1, j + 1])
+    return best
+
+
+def test_alignment_equals_the_recurrence():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        a, b = rng.integers(0, 4, rng.integers(1, 12)), rng.integers(0, 4, rng.integers(1, 20))
+        score, low, high = decontamination.align(a, b)
+        assert score == slow_alignment(a, b)
+        assert slow_alignment(a, b[low:high]) == score
+
+
+# --- 2 -----------------------------------------------------------------------
+
+
+def slow_spans(text):
+    assign = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secret_scan(spark):
+    rng = random.Random(1)
+    pieces = ["password", "API_key", "apikey", "token", "Secret", "ſecret", "passwd", '"', "'", " ", ":", "=", "abc", "12345678", "AKIA", "ABCD1234EFGH", "0af9" * 8, "0af9" * 9, "é", "\n", "."]
+    texts = [*EDGES, *("".join(rng.choices(pieces, k=rng.randrange(1, 25))) for _ in range(300))]
+    random_string = "x9Kq2LmZ7vR4tY8wB3nH6jD1"
+    known = ["550e8400-e29b-41d4-a716-446655440000", "sha256-" + "ab12" * 16, "release-notes-2024-01-final-version", "12345678901234567890", "D41D8CD98F00B204E9800998ECF8427E"]
+    texts += [f"see {random_string} here", *known]
+    got = {r.doc_id: r for r in secret_scan.scan(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        base = slow_spans(t or "")
+        assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == [base.count(k) for k in secret_scan.KINDS[:3]]
+        assert ",".join(s for s in got[i].spans.split(",") if not s.startswith("random")) == base
+    at = len(texts) - len(known)
+    assert got[at - 1].spans == f"random:4:{4 + len(random_string)}"
+    assert all("random" not in got[i].spans for i in range(at, len(texts)))
+
+
+# --- 3 -----------------------------------------------------------------------
+
+
+def slow_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    names = sorted((s for s in sizes if s is not None), key=str) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, target = share * sum(sizes.values()), set(names), {}
+    while True:
+        level = left / (sum(weight[s] for s in open_) or 1)
+        over = {s for s in open_ if weight[s] * level > most * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * level for s in open_}
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+        open_ -= over
+
+
+def test_mixing_meets_its_targets(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(900):
+        source = rng.choice(["big"] * 9 + ["a", "é", None, "Z", "zero"])
+        rows.append((i, None if source == "zero" else " ".join(["w"] * rng.randrange(0, 30)), "en", source, 1, "q", 2))
+    rows += [(5, "w w w", "en", "a", 1, "q", 2), (5, "w w w", "en", "a", 1, "q", 2), (None, "w w", "en", "a", 1, "q", 2)]
+    frame = spark.createDataFrame(rows, DOCS)
+    got = mixing.copies(frame, leaf=20, fan=4).collect()
+    assert len(got) == len(rows)
+    sizes, taken, largest = {}, {}, {}
+    for r in got:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        largest[r.source] = max(largest.get(r.source, 0), r.size)
+        assert r.taken in (0, r.size, 2 * r.size)
+    targets = slow_targets(sizes)
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source])
+        assert abs(taken[r.source] - r.target) <= largest[r.source]
+    again = mixing.copies(frame.repartition(7), leaf=20, fan=4).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+    mixed = mixing.mixed(frame, leaf=20, fan=4)
+    assert mixed.columns == frame.columns
+    assert mixed.count() == sum(r.copies for r in got)
+    assert mixing.copies(frame.limit(0)).count() == 0
+
+
+# --- 4 -----------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark, tmp_path):
+    pages = [(i, f"http://x/{i}?q=é \r\nx", h) for i, h in enumerate(["<p>é</p>", "<p>é</p>", None, "", "\r\n\r\nWARC/1.1\r\n", "y" * 5000])]
+    pages += [(50, None, "<p>é</p>"), (50, None, "<p>é</p>"), (None, "u", "y" * 5000), (None, None, "only")]
+    pages += [(100 + i, "u", f"page {i} " * 50) for i in range(40)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit("x"))
+    folders = [str(tmp_path / n) for n in ("a", "b")]
+    for folder, layout in zip(folders, (3, 1), strict=True):
+        warc.write(frame.repartition(layout), folder, shard_bytes=3000, file_bytes=700)
+    names = [sorted(n for n in os.listdir(f) if n.endswith(".gz")) for f in folders]
+    assert names[0] == names[1] and len(names[0]) > 4
+    for n in names[0]:
+        assert open(f"{folders[0]}/{n}", "rb").read() == open(f"{folders[1]}/{n}", "rb").read()
+        assert gzip.open(f"{folders[0]}/{n}").read(8) == b"WARC/1.1"
+    open(f"{folders[0]}/part-999999-00000.warc.gz", "wb").write(b"not in the manifest")
+    got = warc.read(spark, folders[0]).collect()
+    want, seen = [], set()
+    for page_id, _, html in pages:
+        payload = (html or "").encode()
+        same = [p for p, _, h in pages if (h or "").encode() == payload]
+        main = max((p for p in same if p is not None), default=None)
+        first = (page_id, payload) not in seen
+        seen.add((page_id, payload))
+        response = page_id == main and first
+        want.append((page_id, len(payload), warc.digest32(payload), "response" if response else "revisit", None if response else main))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert warc.round_trip(frame.limit(0)).count() == 0
+    small = warc.round_trip(frame, min_revisit=100).where("record_type = 'revisit'").collect()
+    assert [r.payload_bytes for r in small] == [5000]
+
+
+# --- 5 -----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(os.path.join(token_counts.TOKENIZER_DIR, token_counts.VOCABULARY))
+    return lambda text: len(whole.encode(text, add_special_tokens=False).ids)
+
+
+ODD = ["<|endoftext|>hi <|startoftext|> X<|ENDOFTEXT|>", "İstanbul Straße ΣΑΣ ﬁ é 𝒳 中文字 123 ٣٤ don't I'LL 'S", "ab" * 200 + "!!!???", "​foo\u0085baz", "🙂🙂 ok", "\x00\x01\x7f", "a\x1cb"]
+
+
+def test_token_counts_equal_the_library(spark, library):
+    texts = [*EDGES, *ODD, *sample(spark)]
+    got = {r.doc_id: r for r in token_counts.counts(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        n = library(t or "")
+        assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 2048)
+    tables = {r.doc_id: r.prefix_tokens for r in token_counts.prefix_tables(docs(spark, texts)).collect()}
+    assert all(tables[i][0] == 0 and tables[i][-1] == got[i].n_tokens for i in got)
+
+
+def test_truncation_is_the_longest_prefix(spark, library):
+    texts = [*ODD, *(t[:200] for t in sample(spark, 8))]
+    for limit in (0, 1, 7, 40):
+        for r in token_counts.truncated(docs(spark, texts), limit=limit).collect():
+            t = texts[r.doc_id]
+            assert r.kept_chars == max(k for k in range(len(t) + 1) if library(t[:k]) <= limit)
+
+
+def test_prefixes_inside_a_word(library):
+    counter = token_counts.counter_of(os.path.join(token_counts.TOKENIZER_DIR, token_counts.VOCABULARY))
+    for word in ("internationalisation", "straßenbahn", "qzxvkjw", "a"):
+        assert counter.piece_table(word) == [library(word[:k]) for k in range(len(word) + 1)]
+
+
+# --- 7 -----------------------------------------------------------------------
+
+
+def test_slots_are_claimed_in_turns():
+    names = ["a", "b", "c", "d", "e"]
+    owners = sharding.slot_owners(names, 101)
+    counts = np.bincount(owners)
+    assert counts.max() - counts.min() <= 1
+    # By the definition: in turn, the first free slot of the own order.
+    orders = [[(o + k * s) % 101 for k in range(101)] for o, s in (sharding._preference(n, 101) for n in names)]
+    slow, turn = {}, 0
+    while len(slow) < 101:
+        slow[next(x for x in orders[turn % 5] if x not in slow)] = turn % 5
+        turn += 1
+    assert owners == [slow[i] for i in range(101)]
+    fewer = sharding.slot_owners(names[:-1], 101)
+    moved = sum(a != b for a, b in zip(owners, fewer, strict=True) if a != 4)
+    assert moved < 101 // 4
+    for bad in ((["a", "a"], 101), ([], 101), (["a"], 100)):
+        with pytest.raises(ValueError):
+            sharding.slot_owners(*bad)
+
+
+def test_placement(spark):
+    import struct
+
+    import xxhash
+
+    frame = docs(spark, ["t"] * 500, [*range(498), None, 7])
+    got = sharding.place(frame, shards=["s0", "s1", "s2"], size=101, out="shard")
+    assert got.columns == [*frame.columns, "shard"]
+    owners = sharding.slot_owners(["s0", "s1", "s2"], 101)
+
+    def slot(i):
+        h = 42 if i is None else struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42)))[0]
+        return owners[h % 101]
+
+    rows = got.collect()
+    assert len(rows) == 500 and all(r.shard == slot(r.doc_id) for r in rows)
+    assert sharding.place(frame.limit(0)).count() == 0
+
+
+# --- 9 -----------------------------------------------------------------------
+
+
+def slow_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    repeat = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    joined = "".join(words)
+    failed = len(words) < 50 or 100 * len(repeat) > 50 * len(words)
+    return len(words), len(joined), sum(c in "#*$%&|<>" for c in joined), len(lines) - len(set(lines)), len(repeat), failed
+
+
+def slow_distance(p, q):
+    if not sum(p) or not sum(q):
+        return 0.0
+    p, q = np.array(p) / sum(p), np.array(q) / sum(q)
+    m = (p + q) / 2
+    part = lambda x: float((x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum())
+    return max(0.0, (part(p) + part(q)) / 2) ** 0.5
+
+
+def slow_histograms(text, lang):
+    words = WORD.findall(text or "")
+    joined = "".join(words)
+    classes = ["[a-z]", *(p.removesuffix("+") for p in quality.CHARACTER_CLASSES)]
+    chars = [len(re.findall(p, joined)) for p in classes]
+    common = [words.count(w) for w in quality.COMMON_WORDS.get(lang or "", [])]
+    return [*chars, len(joined) - sum(chars)], [*common, len(words) - sum(common)]
+
+
+def test_quality_rules_equal_brute_force(spark):
+    texts = [*EDGES, *sample(spark, 80), "THE CAT!! " * 70, "a | b | " * 60 + " ".join(f"w{i}" for i in range(150))]
+    frame = docs(spark, texts)
+    got = {r.doc_id: r for r in quality.report(frame).collect()}
+    langs = {r.doc_id: r.lang or "" for r in frame.collect()}
+    own = {i: slow_histograms(t, langs[i]) for i, t in enumerate(texts)}
+    refs = {x: [np.sum([own[i][k] for i in own if langs[i] == x], axis=0) for k in (0, 1)] for x in set(langs.values())}
+    for i, t in enumerate(texts):
+        base = slow_base(t)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base
+        chars, hits = (slow_distance(own[i][k], refs[langs[i]][k]) for k in (0, 1))
+        assert r.class_distance == pytest.approx(chars, abs=1e-6) and r.word_distance == pytest.approx(hits, abs=1e-6)
+        near = chars <= quality.MAX_CLASS_DISTANCE and hits <= quality.MAX_WORD_DISTANCE
+        assert r.kept == (not base[-1] and (base[0] < quality.MIN_WORDS or near))
+    kept = quality.kept(frame)
+    assert kept.columns == frame.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i in got if got[i].kept}
+    assert quality.report(frame.limit(0)).count() == 0 and quality.kept(frame.limit(0)).count() == 0
+
+
+def test_no_python_in_the_native_plans(spark):
+    for name in ("op7_sharding", "op9_quality_rules"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|Arrow|Existing RDD", plan)
+
+
+# --- pipeline ------------------------------------------------------------------
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "benchmark decontamination", "mixing", "sharding"]
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == [*documents.columns, "shard"]
+    kept = {r.doc_id for r in quality.report(documents).where("kept").collect()}
+    rows = got.collect()
+    assert rows and {r.doc_id for r in rows} <= kept
+    texts = [r.text for r in rows]
+    assert len(set(texts)) == len({r.doc_id for r in rows})
+    assert max(texts.count(t) for t in set(texts)) <= 2
