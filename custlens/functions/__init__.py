@@ -15,7 +15,7 @@ from custlens.functions.dates import (
     safe_timestamp,
     ts_literal,
 )
-from custlens.functions.numeric import clamp_zero, percentage, safe_int, zero_if_null
+from custlens.functions.numeric import clamp_zero, safe_int
 from custlens.functions.text import (
     canonical_name,
     clean_region,
@@ -42,12 +42,10 @@ __all__ = [
     "normalise_person_name",
     "operational_day",
     "parse_timestamp_any",
-    "percentage",
     "prompt_text",
     "safe_int",
     "safe_timestamp",
     "strip_suffix_token",
     "ts_literal",
     "word_count",
-    "zero_if_null",
 ]

@@ -1,4 +1,4 @@
-"""Numeric helpers."""
+"""Numeric helpers."""
 
 from __future__ import annotations
 
@@ -25,13 +25,3 @@ def clamp_zero(c: ColumnOrName) -> Column:
     """max(x, 0); NULL stays NULL (``greatest`` would skip it)."""
     col = _col(c)
     return F.when(col < 0, F.lit(0).cast("bigint")).otherwise(col)
-
-
-def zero_if_null(c: ColumnOrName) -> Column:
-    """fillna(0)."""
-    return F.coalesce(_col(c), F.lit(0))
-
-
-def percentage(part: ColumnOrName, whole: ColumnOrName) -> Column:
-    """F16: part / whole * 100, NULL when whole is 0."""
-    return F.try_divide(_col(part), _col(whole)) * F.lit(100.0)

@@ -1,9 +1,9 @@
 """Delivery- and depletion-based churn labels.
 
 Per-row work only: one anti-join against the return list (shuffle on the
-tracking code unless AQE finds the list small) and two lookups of bounded
-configuration (regions, products) that are broadcast after a size check. No
-Python runs per row.
+tracking code unless AQE finds the list small) and two lookups (regions,
+products) that are staged first, so that the planner broadcasts them by their
+size in bytes and the rows stay where they are. No Python runs per row.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from custlens.functions.dates import add_days_checked, elapsed_days
 from custlens.functions.numeric import safe_int
 from custlens.functions.text import clean_region
-from custlens.operators.common import bounded_broadcast, first_per_key
+from custlens.operators.common import first_per_key
 from custlens.operators.returns import exclude_returned_tracking
+from custlens.session import staged
 
 # Churn labels ("Tidak" = no, "Ya" = yes) and the ETA default.
 INVALID, NO, YES = "Invalid", "Tidak", "Ya"
 LABELS = (INVALID, NO, YES)
 DEFAULT_ETA_DAYS = 5
 ZERO_DATE = "0000-00-00"
-MAX_LOOKUP_ROWS = 1_000_000
 
 
 def first_eta_per_region(eta: DataFrame, region_col: str = "region", eta_col: str = "eta_days") -> DataFrame:
@@ -53,7 +53,7 @@ def receipt_dates(
     The reference overwrites every receipt date although its heading says
     "replace missing" (Q4); that is the default. ``only_missing=True`` keeps a
     receipt date already present in ``existing_col``."""
-    lookup = bounded_broadcast(first_eta_per_region(eta), MAX_LOOKUP_ROWS)
+    lookup = staged(first_eta_per_region(eta), "eta")
     df = customers.withColumn("region", clean_region("region"))
     df = df.join(lookup, df.region == lookup._region_key, "left")
     eta_value = F.when(F.col("_eta_matched"), F.col("eta_days").cast("string")).otherwise(F.lit(str(DEFAULT_ETA_DAYS)))
@@ -70,7 +70,7 @@ def depletion(df: DataFrame, unit_days: DataFrame, product_col: str = "product",
     """Days per unit by product (J8, missing → 0 via F2), estimated days
     = quantity × days (F17, F2), depletion date = receipt + days (F5)."""
     days = unit_days.select(F.col("product_name").alias("_p"), F.col("days_per_unit").alias("_days"))
-    df = df.join(bounded_broadcast(days, MAX_LOOKUP_ROWS), F.col(product_col) == F.col("_p"), "left")
+    df = df.join(staged(days, "unit-days"), F.col(product_col) == F.col("_p"), "left")
     df = df.withColumn("depletion_days", safe_int(F.col(qty_col) * F.col("_days")))
     df = df.withColumn("days_per_unit", safe_int(F.col("_days")))
     df = df.withColumn("depletion_date", add_days_checked(F.col("receipt_date"), F.col("depletion_days"), date_is_text=False))

@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.operators.churn import LABELS
-from custlens.operators.common import bounded_broadcast, value_counts
-
-MAX_LOOKUP_ROWS = 1_000_000
+from custlens.operators.common import value_counts
+from custlens.session import staged
 
 
 def restrict_products(labelled: DataFrame, products: list[str] | None, product_col: str = "product") -> DataFrame:
@@ -65,7 +64,7 @@ def label_value(labelled: DataFrame, prices: DataFrame, product_col: str = "prod
     """Label count × unit price (J8; unknown price → NULL total)."""
     counts = label_counts_by_product(labelled, product_col)
     price = prices.select(F.col("product_name").alias(product_col), "price")
-    out = counts.join(bounded_broadcast(price, MAX_LOOKUP_ROWS), on=product_col, how="left")
+    out = counts.join(staged(price, "prices"), on=product_col, how="left")
     return out.withColumn("total", F.col("n") * F.col("price"))
 
 
@@ -134,6 +133,12 @@ def interval_modes(labelled: DataFrame, product_col: str = "product", invalid_as
     return modes.groupBy(product_col).agg(F.sort_array(F.collect_list("interval")).alias("modes"))
 
 
+def interval_stats_modes(labelled: DataFrame, product_col: str = "product", invalid_as_zero: bool = True) -> DataFrame:
+    """The statistics of each product joined to its modes."""
+    stats = interval_stats(labelled, product_col, invalid_as_zero)
+    return stats.join(interval_modes(labelled, product_col, invalid_as_zero), on=product_col, how="inner")
+
+
 def interval_box(labelled: DataFrame, product_col: str = "product", invalid_as_zero: bool = True) -> DataFrame:
     """Box-plot numbers per product — exact interpolated quartiles,
     Tukey fences at 1.5·IQR, whiskers at the most extreme values inside the

@@ -75,18 +75,15 @@ def cohort_retention(revenue: DataFrame) -> DataFrame:
     return revenue.withColumn("retention", F.try_divide(F.col("revenue"), base))
 
 
-def cohort_matrix(revenue: DataFrame, value_col: str = "revenue", max_index: int | None = None) -> DataFrame:
+def cohort_matrix(revenue: DataFrame, horizon: int, value_col: str = "revenue") -> DataFrame:
     """Wide matrix, one row per (product, cohort month), one column per
-    cohort index. With ``max_index`` the columns are fixed (1..max_index) and
-    no extra job lists the distinct indexes."""
-    values = list(range(1, max_index + 1)) if max_index else None
-    if values is None:
-        # Discovering the pivot columns is a job of its own; materialise the
-        # (small) long form once in the shared checkpoint folder so that job
-        # and the pivot both read it instead of recomputing the cohorts.
-        from custlens.session import checkpoint_dir
-
-        checkpoint_dir(revenue.sparkSession)
-        revenue = revenue.checkpoint(eager=True)
-    grouped = revenue.groupBy("product_name", "cohort_month")
-    return grouped.pivot("cohort_index", values).agg(F.first(value_col))
+    cohort index from 1 to ``horizon``. A cell beyond the horizon fails the job:
+    it has no column, and leaving it out would be silent loss."""
+    index = F.col("cohort_index")
+    checked = F.when(index.between(1, horizon), index).otherwise(
+        F.raise_error(F.concat(F.lit("cohort index outside of the horizon: "), F.coalesce(index.cast("string"), F.lit("NULL")))).cast("int")
+    )
+    cells = revenue.select("product_name", "cohort_month", checked.alias("cohort_index"), value_col)
+    return cells.groupBy("product_name", "cohort_month").agg(
+        *[F.max(F.when(F.col("cohort_index") == n, F.col(value_col))).alias(str(n)) for n in range(1, horizon + 1)]
+    )

@@ -1,5 +1,5 @@
-"""Operators shared by several reports: checked broadcast, dictionary lookup
-(J8), first row per key (A9), null profile (A25), value counts (A13)."""
+"""Operators shared by several reports: first row per key (A9), preview (O2),
+null profile (A25), value counts (A13)."""
 
 from __future__ import annotations
 
@@ -7,36 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-class BroadcastTooLarge(ValueError):
-    pass
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven small.
-
-    * ``known_rows`` — configuration whose row count is known by construction
-      (a literal list): hinted for broadcast when it is at most ``max_rows``.
-    * otherwise no hint is added and Spark's own size checks decide: the
-      planner broadcasts a side whose estimated size is below
-      ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the
-      *materialised* size at runtime and converts the join then. Both fall
-      back to a shuffle join above the threshold, and neither costs a
-      separate counting job that would recompute the lineage.
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup(df: DataFrame, table: DataFrame, on: str | list[str], max_rows: int = 1_000_000) -> DataFrame:
-    """Dictionary lookup as a left join; a missing key gives NULL.
-
-    The lookup must be unique on its key (a dict cannot hold duplicates); the
-    caller de-duplicates first when the source could repeat keys.
-    """
-    return df.join(bounded_broadcast(table, max_rows), on=on, how="left")
-
-
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep one row per key — the first by a *total* ``order``.
 

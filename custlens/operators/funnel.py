@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.dates import months_before
-from custlens.operators.common import bounded_broadcast
 from custlens.operators.rfm import (
     _pack_col,
     day_rows,
@@ -16,11 +15,11 @@ from custlens.operators.rfm import (
     prepare_sales,
     summary_from_days,
 )
+from custlens.session import staged
 
 # Funnel labels and the Warm look-back window.
 HOT, WARM, COLD = "Hot", "Warm", "Cold"
 WARM_MONTHS = 3
-MAX_CONFIG_ROWS = 1_000_000
 
 
 def funnel_stage(depletion: Column, as_of: Column, warm_months: int = WARM_MONTHS) -> Column:
@@ -40,11 +39,11 @@ def _plus_days(ts: Column, days: Column) -> Column:
 def funnel_single_pack(rfm: DataFrame, unit_days: DataFrame, as_of: Column) -> DataFrame:
     """C4: depletion = last shipment + last quantity × days per unit.
 
-    ``unit_days`` (product_name, days_per_unit) is configuration, broadcast
-    after a row-count check. A product without configured days gets a NULL
+    ``unit_days`` (product_name, days_per_unit) is staged, so that the planner
+    broadcasts it by its size in bytes. A product without configured days gets a NULL
     depletion date and is Cold (Q22).
     """
-    days = bounded_broadcast(unit_days.select("product_name", "days_per_unit"), MAX_CONFIG_ROWS)
+    days = staged(unit_days.select("product_name", "days_per_unit"), "unit-days")
     out = rfm.join(days, on="product_name", how="left")
     depletion = _plus_days(F.col("last_shipment_date"), F.col("product_qty") * F.col("days_per_unit"))
     return out.withColumn("depletion_date", depletion).withColumn("funnel", funnel_stage(F.col("depletion_date"), as_of))
@@ -58,7 +57,7 @@ def pack_depletion_days(summary: DataFrame, pack_days: DataFrame, packs: list[st
         *[F.max(F.when(F.col("pack") == p, F.col("days_per_unit"))).alias(f"_d_{p}") for p in packs],
         F.lit(True).alias("_has_packs"),
     )
-    out = summary.join(bounded_broadcast(wide, MAX_CONFIG_ROWS), on="product_name", how="left")
+    out = summary.join(staged(wide, "pack-days"), on="product_name", how="left")
     total = F.lit(0)
     for p in packs:
         total = total + F.coalesce(F.col(_pack_col(p)) * F.col(f"_d_{p}"), F.lit(0))
@@ -81,10 +80,10 @@ def funnel_two_pack(
     Output per (customer, product): last_shipment_date, one quantity column
     per pack (``qty_<pack>``), depletion_date, funnel. ``exclude_returns``
     applies C1 inside the same aggregate (pass raw sales then). ``packs``
-    lists the pack names when the caller knows them (else they are read from
-    ``pack_days``).
+    lists the pack sizes when the caller knows them; else they are read from
+    ``pack_days``, by a job of its own.
     """
-    packs = packs if packs is not None else pack_names(pack_days)
+    packs = pack_names(pack_days) if packs is None else packs
     if exclude_returns:
         # C1 decided on the level-1 aggregate: one scan of the sales rows.
         days = drop_high_return_days(day_rows(prepare_sales(sales), packs))

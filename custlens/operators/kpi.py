@@ -24,18 +24,18 @@ from pyspark.sql import functions as F
 
 from custlens.functions.dates import hour_label, operational_day
 from custlens.functions.text import normalise_person_name
-from custlens.operators.common import bounded_broadcast
+from custlens.session import staged
 
 # Event types with a KPI meaning.
 LEAD, PURCHASE = "signup", "purchase"
-MAX_TARGET_ROWS = 1_000_000
 
 
 def integrate(activity: DataFrame, staff: DataFrame) -> DataFrame:
-    """G1: activity enriched with the (normalised) staff name; activity rows
-    without a directory entry are kept. The directory is joined without a
-    hint — AQE broadcasts it when its runtime size is small."""
-    names = staff.select("staff_id", normalise_person_name("staff_name").alias("staff_name"))
+    """G1: rows with a staff id enriched with the (normalised) staff name; rows
+    without a directory entry are kept. The directory is made unique first
+    (the least name of an id), so that no row is doubled. Join it to
+    aggregates, not to raw activity: the name isn't needed before."""
+    names = staff.groupBy("staff_id").agg(F.min(normalise_person_name("staff_name")).alias("staff_name"))
     return activity.join(names, on="staff_id", how="left")
 
 
@@ -94,25 +94,25 @@ def product_contribution(events: DataFrame) -> DataFrame:
     return per.withColumn("share", F.try_divide(F.col("revenue"), day_total))
 
 
-def staff_summary(events: DataFrame) -> DataFrame:
-    """Per (day, staff): events, leads, purchases, purchase value."""
-    return events.groupBy("op_day", "staff_id", "staff_name").agg(
+def staff_summary(events: DataFrame, staff: DataFrame) -> DataFrame:
+    """G1 + G9: per (day, staff): name, events, leads, purchases, purchase value."""
+    per = events.groupBy("op_day", "staff_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if("is_lead").alias("leads"),
         F.count_if("is_purchase").alias("purchases"),
         F.coalesce(F.sum(F.when(F.col("is_purchase"), F.col("value"))), F.lit(0.0)).alias("revenue"),
     )
+    return integrate(per, staff)
 
 
-def points(events: DataFrame, targets: DataFrame, known_targets: int | None = None) -> DataFrame:
+def points(events: DataFrame, targets: DataFrame) -> DataFrame:
     """G10 + G11: per (day, staff, product) with purchases: units, target,
     points and completion. ``targets`` (product, target, weight, bonus) is
-    configuration, broadcast after a size check."""
+    staged; the planner broadcasts it by its size in bytes."""
     units = events.filter("is_purchase").groupBy("op_day", "staff_id", "product").agg(
         F.count(F.lit(1)).alias("units")
     )
-    cfg = bounded_broadcast(targets, MAX_TARGET_ROWS, known_rows=known_targets)
-    out = units.join(cfg, on="product", how="inner")
+    out = units.join(staged(targets, "targets"), on="product", how="inner")
     met = F.col("units") >= F.col("target")
     return out.select(
         "op_day",
@@ -141,6 +141,10 @@ def daily_achievement(scored: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def leaderboard(daily: DataFrame) -> DataFrame:
-    """Dense rank of points within each operational day."""
+    """Dense rank of points within each operational day.
+
+    The window runs over the different point values of a day, of which there are
+    few, not over its staff; the rank is joined back."""
     w = Window.partitionBy("op_day").orderBy(F.desc("points"))
-    return daily.withColumn("rank", F.dense_rank().over(w))
+    ranks = daily.select("op_day", "points").distinct().withColumn("rank", F.dense_rank().over(w))
+    return daily.join(ranks, ["op_day", "points"])

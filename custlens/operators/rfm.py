@@ -44,14 +44,11 @@ def prepare_sales(
     )
 
 
-def pack_names(pack_days: DataFrame | None, max_packs: int = 64) -> list[str]:
-    """The pack sizes configured (a bounded config list, read once)."""
+def pack_names(pack_days: DataFrame | None) -> list[str]:
+    """The pack sizes of the configuration; each becomes a column."""
     if pack_days is None:
         return []
-    rows = pack_days.select("pack").distinct().orderBy("pack").limit(max_packs + 1).collect()
-    if len(rows) > max_packs:
-        raise ValueError(f"more than {max_packs} pack sizes configured")
-    return [r["pack"] for r in rows]
+    return [r["pack"] for r in pack_days.select("pack").distinct().orderBy("pack").collect()]
 
 
 def _pack_col(pack: str) -> str:
@@ -195,7 +192,3 @@ def repeat_order_score(frequency: str | Column = "frequency") -> Column:
     """1→0, 2→1, 3→2, 4→3, 5→4, anything else → 5."""
     f = F.col(frequency) if isinstance(frequency, str) else frequency
     return F.when(f.isin(1, 2, 3, 4, 5), (f - 1).cast("int")).otherwise(F.lit(5))
-
-
-def with_repeat_order(rfm: DataFrame) -> DataFrame:
-    return rfm.withColumn("repeat_order", repeat_order_score("frequency"))

@@ -1,244 +1,161 @@
 """Customer segmentation per product.
 
-* M1 — z-scores per product: one tiny aggregate (mean, population deviation
-  per product) joined back; no window over a product, which would put a whole
-  product's customers into one task.
+* M1 — z-scores per product: one aggregate gives mean, population deviation,
+  least and greatest value of every feature; the table has a row per product,
+  is staged and joined back by broadcast. The rows themselves never move.
 * M2b — nearest centroid: the k centroids of each product travel as one array
   per product, and the choice is ``array_min`` over (distance, cluster)
   structs — one projection, no row explosion.
-* M2 — K-Means per product with ``pyspark.ml``: each fit is a distributed job
-  over a checkpointed feature table; only the k centres come back (bounded),
-  and the assignment of every customer is one M2b pass for all products.
+* M2 — K-Means for all products at once: each round assigns every row (M2b) and
+  averages per (product, cluster), which combines map-side. The centres stay in
+  a staged table; one number, the largest shift, comes to the driver.
 * M3 — cluster names from the exact median frequency per (product, cluster).
-
-Per-product tables derived from the data are joined without a hint: AQE sees
-their materialised size (one row per product, or k per product) and turns the
-join into a broadcast, without a separate counting job that would recompute
-the lineage. Tables of known size (fitted centres) are broadcast directly.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.operators.common import bounded_broadcast
+from custlens.session import staged
 
 FEATURES = ("recency", "frequency", "monetary")
-MAX_GROUPS = 100_000
 
 # Segment names and their median-frequency thresholds.
 CHAMPION, LOYAL, POTENTIAL, AT_RISK, HIBERNATE = "Champion", "Loyal", "Potential Loyal", "At Risk", "Hibernate"
 CHAMPION_MEDIAN, LOYAL_MEDIAN = 6, 2
 CHAMPION_FREQUENCY = 5
+# The defaults of the reference's K-Means.
+MAX_ROUNDS, TOLERANCE = 300, 1e-4
+
+
+class NotConverged(RuntimeError):
+    pass
 
 
 def _z(f: str) -> str:
     return f"z_{f}"
 
 
-def scale_features(rfm: DataFrame, group_col: str = "product_name", features=FEATURES) -> DataFrame:
+def _scaled(value: Column, f: str) -> Column:
+    s = F.col(f"_s_{f}")
+    return F.when(s.isNull() | (s == 0), F.lit(0.0)).otherwise((value - F.col(f"_m_{f}")) / s)
+
+
+def group_statistics(rfm: DataFrame, group_col: str = "product_name", features=FEATURES) -> DataFrame:
+    """Mean, population deviation, minimum and maximum of each feature by group."""
+    aggs = []
+    for f in features:
+        aggs += [
+            F.avg(f).alias(f"_m_{f}"),
+            F.stddev_pop(f).alias(f"_s_{f}"),
+            F.min(f).alias(f"_lo_{f}"),
+            F.max(f).alias(f"_hi_{f}"),
+        ]
+    return staged(rfm.groupBy(group_col).agg(*aggs), "segment-statistics")
+
+
+def scale_features(
+    rfm: DataFrame, group_col: str = "product_name", features=FEATURES, stats: DataFrame | None = None
+) -> DataFrame:
     """M1: (x − mean) / population std per group; a zero (or undefined)
     deviation gives 0, as StandardScaler does."""
-    stats = rfm.groupBy(group_col).agg(
-        *[F.avg(f).alias(f"_m_{f}") for f in features],
-        *[F.stddev_pop(f).alias(f"_s_{f}") for f in features],
+    stats = group_statistics(rfm, group_col, features) if stats is None else stats
+    return rfm.join(stats, on=group_col, how="left").select(
+        *rfm.columns, *[_scaled(F.col(f), f).alias(_z(f)) for f in features]
     )
-    out = rfm.join(stats, on=group_col, how="left")
-    for f in features:
-        s = F.col(f"_s_{f}")
-        out = out.withColumn(
-            _z(f), F.when(s.isNull() | (s == 0), F.lit(0.0)).otherwise((F.col(f) - F.col(f"_m_{f}")) / s)
-        )
-    return out.drop(*[f"_m_{f}" for f in features], *[f"_s_{f}" for f in features])
 
 
-def grid_centroids(scaled: DataFrame, k: int, group_col: str = "product_name", features=FEATURES) -> DataFrame:
-    """Deterministic seeds: k points evenly spaced on the diagonal of each
-    group's bounding box, centroid j at min + (j + ½)/k · (max − min)."""
-    bounds = scaled.groupBy(group_col).agg(
-        *[F.min(_z(f)).alias(f"_lo_{f}") for f in features],
-        *[F.max(_z(f)).alias(f"_hi_{f}") for f in features],
-    )
-    js = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster")
-    with_j = bounds.select("*", js)
+def grid_centroids(stats: DataFrame, k: int, group_col: str = "product_name", features=FEATURES) -> DataFrame:
+    """Deterministic seeds from ``group_statistics``: k points evenly spaced on
+    the diagonal of each group's bounding box, centroid j at
+    min + (j + ½)/k · (max − min) of the scaled values."""
     frac = (F.col("cluster") + F.lit(0.5)) / F.lit(k)
-    cols = [
-        (F.col(f"_lo_{f}") + frac * (F.col(f"_hi_{f}") - F.col(f"_lo_{f}"))).alias(_z(f)) for f in features
-    ]
-    return with_j.select(group_col, "cluster", *cols)
+    cols = []
+    for f in features:
+        lo, hi = _scaled(F.col(f"_lo_{f}"), f), _scaled(F.col(f"_hi_{f}"), f)
+        cols.append((lo + frac * (hi - lo)).alias(_z(f)))
+    each = stats.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    return each.select(group_col, "cluster", *cols)
+
+
+def _distance(centre: Column, features=FEATURES) -> Column:
+    return reduce(lambda a, b: a + b, [(centre[_z(f)] - F.col(_z(f))) * (centre[_z(f)] - F.col(_z(f))) for f in features])
 
 
 def assign_nearest(
-    scaled: DataFrame,
-    centroids: DataFrame,
-    group_col: str = "product_name",
-    features=FEATURES,
-    known_groups: int | None = None,
+    scaled: DataFrame, centroids: DataFrame, group_col: str = "product_name", features=FEATURES
 ) -> DataFrame:
     """Each row's nearest centroid of its own group (squared Euclidean
-    distance; the lower cluster id wins a tie). Adds ``cluster``.
-    ``known_groups`` (a proven row count of the packed centres) enables an
-    explicit broadcast; otherwise AQE decides from the runtime size."""
-    if "_centres" in centroids.columns:
-        packed = centroids
-    else:
-        packed = centroids.groupBy(group_col).agg(
-            F.collect_list(
-                F.struct(F.col("cluster").cast("int").alias("cluster"), *[F.col(_z(f)) for f in features])
-            ).alias("_centres")
-        )
-    if known_groups is not None:
-        packed = bounded_broadcast(packed, MAX_GROUPS, known_rows=known_groups)
-    out = scaled.join(packed, on=group_col, how="left")
-
-    def dist(c):
-        terms = [(c[_z(f)] - F.col(_z(f))) * (c[_z(f)] - F.col(_z(f))) for f in features]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        return F.struct(total.alias("d"), c["cluster"].alias("cluster"))
-
-    best = F.array_min(F.transform("_centres", dist))
-    return out.withColumn("cluster", best["cluster"]).drop("_centres")
+    distance; the lower cluster id wins a tie). Adds ``cluster`` and
+    ``distance``. The centres, k per group, come from a staged table, so that the
+    planner knows their size in bytes and broadcasts them."""
+    centre = F.struct(F.col("cluster").cast("int").alias("cluster"), *[F.col(_z(f)) for f in features])
+    packed = centroids.groupBy(group_col).agg(F.collect_list(centre).alias("_centres"))
+    best = F.array_min(
+        F.transform("_centres", lambda c: F.struct(_distance(c, features).alias("d"), c["cluster"].alias("cluster")))
+    )
+    out = scaled.join(packed, on=group_col, how="left").withColumn("_best", best)
+    return out.select(*scaled.columns, F.col("_best.cluster").alias("cluster"), F.col("_best.d").alias("distance"))
 
 
 def kmeans_centroids(
     scaled: DataFrame,
-    k: int = 5,
-    seed: int = 42,
+    seeds: DataFrame,
     group_col: str = "product_name",
     features=FEATURES,
-    max_iter: int = 20,
-    parallel_fits: int = 8,
-) -> tuple[DataFrame, int]:
-    """M2: fit ``pyspark.ml`` K-Means separately per group; return the
-    centres as a (group, cluster, z_*) table and the number of groups.
-
-    The features are first written as a parquet table partitioned by group in
-    the shared checkpoint folder. That cuts the lineage (a lost executor
-    re-reads files, nothing is recomputed) and lets each fit read only its own
-    group's files. The ``rebalance`` hint lets AQE split a group holding a
-    third of all rows into many files instead of one task, and merge tiny
-    ones. Fits for different groups run as concurrent Spark jobs; each fit is
-    itself distributed. A group with fewer distinct points than ``k`` gets
-    fewer centres. Only the centres (k per group) reach the driver.
-    """
-    import uuid
-
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    from custlens.session import scratch_path
-
-    spark = scaled.sparkSession
-    zs = [_z(f) for f in features]
-    path = scratch_path(spark, f"kmeans-features-{uuid.uuid4().hex}")
-    (
-        scaled.select(group_col, "customer_id", *zs)
-        .hint("rebalance", group_col)
-        .write.partitionBy(group_col)
-        .parquet(path)
-    )
-    table = spark.read.parquet(path)
-    groups = [r[0] for r in table.select(group_col).distinct().orderBy(group_col).limit(MAX_GROUPS + 1).collect()]
-    if len(groups) > MAX_GROUPS:
-        raise ValueError("too many groups for one fit each")
-    assembler = VectorAssembler(inputCols=zs, outputCol="features")
-
-    def fit(g):
-        part = assembler.transform(table.filter(F.col(group_col) == g).sortWithinPartitions("customer_id"))
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(part)
-        return [(g, i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-            rows = [r for rs in pool.map(fit, groups) for r in rs]
-    finally:
-        from custlens.sources.files import delete_path
-
-        delete_path(spark, path)
-    schema = f"{group_col} string, cluster int, " + ", ".join(f"{z} double" for z in zs)
-    return spark.createDataFrame(rows, schema), len(groups)
-
+    max_rounds: int = MAX_ROUNDS,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """M2: K-Means of every group in the same distributed rounds, from ``seeds``.
 
-def lloyd_centroids(
-    scaled: DataFrame,
-    k: int = 5,
-    group_col: str = "product_name",
-    features=FEATURES,
-    max_iter: int = 20,
-    tol: float = 1e-4,
-) -> tuple[DataFrame, int]:
-    """M2 for many groups at once: Lloyd's algorithm run for every group in
-    the same distributed pass.
-
-    Start from the deterministic grid seeds; each iteration is one job —
-    assign every row to its nearest centre (M2b) and average per
-    (group, cluster), which combines map-side. Only the k centres per group
-    come back to the driver (bounded), a cluster that lost all its points keeps
-    its previous centre, and the loop stops when no centre moves more than
-    ``tol``. The feature table is checkpointed once to the shared folder.
+    A cluster that lost all its points keeps its centre. The rounds end when in
+    no group the centres' squared shifts add up to more than ``tolerance``; if
+    that isn't reached in ``max_rounds`` the job fails.
     """
-    spark = scaled.sparkSession
-    from custlens.session import checkpoint_dir
-
-    checkpoint_dir(spark)
     zs = [_z(f) for f in features]
-    table = scaled.select(group_col, "customer_id", *zs).checkpoint(eager=True)
-    seeds = grid_centroids(table, k, group_col, features).collect()
-    if len(seeds) > MAX_GROUPS * k:
-        raise ValueError("too many groups")
-    centres = {(r[group_col], r["cluster"]): [r[z] for z in zs] for r in seeds}
-    n_groups = len({g for g, _ in centres})
-    schema = f"{group_col} string, cluster int, " + ", ".join(f"{z} double" for z in zs)
-    packed_schema = f"{group_col} string, _centres array<struct<cluster:int, " + ", ".join(f"{z}:double" for z in zs) + ">>"
-
-    def as_df():
-        return spark.createDataFrame([(g, c, *v) for (g, c), v in sorted(centres.items())], schema)
-
-    def packed():
-        by_group: dict = {}
-        for (g, c), v in sorted(centres.items()):
-            by_group.setdefault(g, []).append((c, *v))
-        return spark.createDataFrame(list(by_group.items()), packed_schema)
-
-    for _ in range(max_iter):
-        assigned = assign_nearest(table, packed(), group_col, features, known_groups=n_groups)
-        means = assigned.groupBy(group_col, "cluster").agg(*[F.avg(z).alias(z) for z in zs]).collect()
-        shift = 0.0
-        for r in means:
-            key = (r[group_col], r["cluster"])
-            new = [r[z] for z in zs]
-            old = centres[key]
-            shift = max(shift, sum((a - b) ** 2 for a, b in zip(new, old)) ** 0.5)
-            centres[key] = new
-        if shift <= tol:
-            break
-    return as_df(), n_groups
-
-
-def name_clusters(assigned: DataFrame, group_col: str = "product_name") -> DataFrame:
-    """M3 + C3: name each (group, cluster) by its exact median frequency —
-    ≥ 6 Champion, 2–6 Loyal, < 2 Potential Loyal, otherwise (NULL) At Risk —
-    then a frequency above 5 makes the row a Champion regardless.
-    Replaces ``cluster`` with the name; keeps the id as ``cluster_id``."""
-    medians = assigned.groupBy(group_col, "cluster").agg(F.median("frequency").alias("_median"))
-    m = F.col("_median")
-    named = medians.select(
-        group_col,
-        "cluster",
+    points = staged(scaled.select(group_col, *zs), "kmeans-points")
+    centres = staged(seeds.select(group_col, F.col("cluster").cast("int").alias("cluster"), *zs), "kmeans-centres")
+    for _ in range(max_rounds):
+        assigned = assign_nearest(points, centres, group_col, features)
+        means = assigned.groupBy(group_col, "cluster").agg(*[F.avg(z).alias(f"_new_{z}") for z in zs])
+        new = [F.coalesce(F.col(f"_new_{z}"), F.col(z)) for z in zs]
+        shift = reduce(lambda a, b: a + b, [(n - F.col(z)) * (n - F.col(z)) for n, z in zip(new, zs, strict=True)])
+        moved = centres.join(means, [group_col, "cluster"], "left").select(
+            group_col, "cluster", *[n.alias(z) for n, z in zip(new, zs, strict=True)], shift.alias("_shift")
+        )
+        moved = staged(moved, "kmeans-centres")
+        total = moved.groupBy(group_col).agg(F.sum("_shift").alias("s")).agg(F.max("s")).first()[0]
+        centres = moved.drop("_shift")
+        if total is None or total <= tolerance:
+            return centres
+    raise NotConverged(f"K-Means didn't settle in {max_rounds} rounds")
+
+
+def cluster_medians(assigned: DataFrame, group_col: str = "product_name") -> DataFrame:
+    """Median frequency of each (group, cluster) and its name —
+    ≥ 6 Champion, 2–6 Loyal, < 2 Potential Loyal, otherwise (NULL) At Risk."""
+    medians = assigned.groupBy(group_col, "cluster").agg(F.median("frequency").alias("median_frequency"))
+    m = F.col("median_frequency")
+    name = (
         F.when(m >= CHAMPION_MEDIAN, F.lit(CHAMPION))
         .when(m >= LOYAL_MEDIAN, F.lit(LOYAL))
         .when(m < LOYAL_MEDIAN, F.lit(POTENTIAL))
         .otherwise(F.lit(AT_RISK))
-        .alias("_name"),
     )
+    return medians.withColumn("cluster_name", name)
+
+
+def name_clusters(assigned: DataFrame, group_col: str = "product_name") -> DataFrame:
+    """M3 + C3: the cluster's name, but a frequency above 5 makes the row a
+    Champion regardless. Replaces ``cluster`` with the name; keeps the id as
+    ``cluster_id``."""
+    named = staged(cluster_medians(assigned, group_col).drop("median_frequency"), "segment-names")
     out = assigned.join(named, on=[group_col, "cluster"], how="left")
-    name = F.when(F.col("frequency") > CHAMPION_FREQUENCY, F.lit(CHAMPION)).otherwise(F.col("_name"))
-    return out.withColumnRenamed("cluster", "cluster_id").withColumn("cluster", name).drop("_name")
+    name = F.when(F.col("frequency") > CHAMPION_FREQUENCY, F.lit(CHAMPION)).otherwise(F.col("cluster_name"))
+    return out.withColumnRenamed("cluster", "cluster_id").withColumn("cluster", name).drop("cluster_name")
 
 
 def hibernate(df: DataFrame) -> DataFrame:
@@ -247,24 +164,16 @@ def hibernate(df: DataFrame) -> DataFrame:
     return df.withColumn("cluster", F.when((c == POTENTIAL) & (F.col("funnel") == "Cold"), F.lit(HIBERNATE)).otherwise(c))
 
 
-def segment(
-    rfm: DataFrame, k: int = 5, method: str = "grid", seed: int = 42, group_col: str = "product_name"
-) -> DataFrame:
+def segment(rfm: DataFrame, k: int = 5, method: str = "kmeans", group_col: str = "product_name") -> DataFrame:
     """M1 → centres → M2b → M3 on an RFM table.
 
-    ``method``: ``'grid'`` deterministic seeds only (oracle-checkable);
-    ``'lloyd'`` seeds refined by Lloyd iterations for all groups at once;
-    ``'kmeans'`` one ``pyspark.ml`` K-Means fit (k-means|| with ``seed``) per
-    group."""
-    scaled = scale_features(rfm, group_col)
-    if method in ("kmeans", "lloyd"):
-        if method == "kmeans":
-            centres, n_groups = kmeans_centroids(scaled, k=k, seed=seed, group_col=group_col)
-        else:
-            centres, n_groups = lloyd_centroids(scaled, k=k, group_col=group_col)
-        assigned = assign_nearest(scaled, centres, group_col, known_groups=n_groups)
-    elif method == "grid":
-        assigned = assign_nearest(scaled, grid_centroids(scaled, k, group_col), group_col)
-    else:
+    ``method``: ``'kmeans'`` fits K-Means from the seeds (M2); ``'grid'`` takes
+    the deterministic seeds as they are (oracle-checkable)."""
+    if method not in ("kmeans", "grid"):
         raise ValueError(f"unknown method {method}")
-    return name_clusters(assigned, group_col)
+    stats = group_statistics(rfm, group_col)
+    scaled = scale_features(rfm, group_col, stats=stats)
+    centres = grid_centroids(stats, k, group_col)
+    if method == "kmeans":
+        centres = kmeans_centroids(scaled, centres, group_col)
+    return name_clusters(assign_nearest(scaled, centres, group_col), group_col)

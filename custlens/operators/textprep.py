@@ -17,7 +17,7 @@ from custlens.sources.tables import lower_case_columns
 # Fixed value: the default end-of-sequence marker appended to training rows.
 DEFAULT_EOS = "</s>"
 # Fixed value: what counts as one token for keyword matching (letters,
-# digits, '#', '_' and '-', so hashtags such as #konsumsibuah-buahan stay whole).
+# digits, '#', '_' and '-', so hashtags such as #two-words stay whole).
 TOKEN_PATTERN = r"[\p{L}\p{N}_#-]+"
 
 
@@ -33,9 +33,9 @@ def union_frames(frames: list[DataFrame]) -> DataFrame:
 
 
 def instruction_dataset(frames: list[DataFrame], eos: str = DEFAULT_EOS, check_empty: bool = True) -> DataFrame:
-    """Union the instruction files (U1), lower-case the headers (P2),
+    """Lower-case the headers (P2), union the instruction files (U1),
     refuse an empty result (P10), and add the training ``text`` (F19)."""
-    df = lower_case_columns(union_frames(frames))
+    df = union_frames([lower_case_columns(f) for f in frames])
     if check_empty and df.isEmpty():
         raise EmptyInput("instruction data is empty")
     return with_prompt_text(df, eos=eos)
@@ -62,20 +62,22 @@ def transcripts(
     drop_trailing_empty: str = "assistant",
 ) -> DataFrame:
     """C17: one row per conversation with ``messages``: the turns in order as
-    an array of {role, content}; a final turn of role ``drop_trailing_empty``
-    with empty content is removed (the reply about to be generated).
+    an array of {role, content}, in the total order (turn, role, text). If the
+    last one is of role ``drop_trailing_empty`` and empty (the reply about to be
+    generated) it is removed, with its exact repeats.
 
     Turns are gathered with ``collect_list`` of (turn, role, text) structs and
     sorted in the array, so the order never depends on shuffle order.
     """
     ordered = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(role_col).alias("role"), F.col(text_col).alias("content"))))
     df = turns.groupBy(conv_col).agg(ordered.alias("_turns"))
-    msgs = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    df = df.withColumn("messages", msgs).drop("_turns")
-    last = F.element_at("messages", -1)
-    drop = (F.size("messages") > 0) & (last["role"] == drop_trailing_empty) & (F.coalesce(last["content"], F.lit("")) == "")
-    trimmed = F.when(drop, F.slice("messages", 1, F.size("messages") - 1)).otherwise(F.col("messages"))
-    return df.withColumn("messages", trimmed)
+    last = F.element_at("_turns", -1)
+    empty = lambda t: F.coalesce(t["content"], F.lit("")) == ""
+    drop = (last["role"] == drop_trailing_empty) & empty(last)
+    same = lambda t: t["o"].eqNullSafe(last["o"]) & (t["role"] == last["role"]) & empty(t)
+    kept = F.when(drop, F.filter("_turns", lambda t: ~same(t))).otherwise(F.col("_turns"))
+    msgs = F.transform(kept, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    return df.withColumn("messages", msgs).drop("_turns")
 
 
 def transcript_messages(
@@ -89,21 +91,21 @@ def transcript_messages(
     """C17 in long form: one row per message (conv_id, turn, role, content),
     the trailing empty reply removed — without gathering a conversation.
 
-    The last turn of each conversation is a ``max_by`` aggregate (combines
-    map-side, so a conversation holding a third of all turns is one partial
-    row per task); the turns to drop are then removed with an anti-join, which
+    The last row of a conversation by (turn, role, text) is a maximum that
+    combines map-side; of the text it carries only whether there is any, so no
+    text is shuffled for it. What to drop is removed with an anti-join, which
     AQE splits if one conversation is hot. ``transcripts`` builds the
     per-conversation array a chat template needs from the same rule.
     """
+    has_text = F.coalesce(F.col(text_col), F.lit("")) != ""
     last = turns.groupBy(conv_col).agg(
-        F.max(order_col).alias("_last"),
-        F.max_by(F.struct(F.col(role_col).alias("r"), F.col(text_col).alias("t")), F.col(order_col)).alias("_m"),
+        F.max(F.struct(F.col(order_col).alias("t"), F.col(role_col).alias("r"), has_text.alias("x"))).alias("_m")
     )
-    empty = F.coalesce(F.col("_m.t"), F.lit("")) == ""
-    drop = last.filter((F.col("_m.r") == drop_trailing_empty) & empty).select(
-        F.col(conv_col).alias("_c"), F.col("_last").alias("_t")
+    drop = last.filter((F.col("_m.r") == drop_trailing_empty) & ~F.col("_m.x")).select(
+        F.col(conv_col).alias("_c"), F.col("_m.t").alias("_t")
     )
-    kept = turns.join(drop, (F.col(conv_col) == F.col("_c")) & (F.col(order_col) == F.col("_t")), "left_anti")
+    gone = (F.col(conv_col) == F.col("_c")) & (F.col(order_col) == F.col("_t")) & (F.col(role_col) == drop_trailing_empty) & ~has_text
+    kept = turns.join(drop, gone, "left_anti")
     return kept.select(conv_col, order_col, F.col(role_col).alias("role"), F.col(text_col).alias("content"))
 
 

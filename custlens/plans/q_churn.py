@@ -250,7 +250,7 @@ FROM vi GROUP BY product"""
     ),
 )
 def q_interval_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """A11 with Invalid as 0 (Q14), joined to the modes as J7 does."""
+    """A11 with Invalid as 0 (Q14)."""
     return rep.interval_stats(_labelled(spark, sf)).withColumn("mean", F.round("mean", 4))
 
 
@@ -269,6 +269,32 @@ def q_interval_modes(spark: SparkSession, sf: str) -> DataFrame:
     return modes.select("product", F.explode("modes").alias("mode"))
 
 
+@query(
+    "interval_stats_modes",
+    _sql(
+        _VALID_SQL
+        + """, c AS (SELECT product, interval, count(*) AS n FROM vi GROUP BY ALL),
+m AS (SELECT product, interval AS mode FROM (SELECT *, max(n) OVER (PARTITION BY product) AS mx FROM c) WHERE n = mx)
+SELECT s.product, mean, median, min, max, mode FROM (
+  SELECT product, round(avg(interval), 4) AS mean, quantile_cont(interval, 0.5) AS median,
+         min(interval) AS min, max(interval) AS max FROM vi GROUP BY product) s JOIN m ON s.product = m.product"""
+    ),
+)
+def q_interval_stats_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """A11 joined to A12, one row per product and mode."""
+    out = rep.interval_stats_modes(_labelled(spark, sf)).withColumn("mean", F.round("mean", 4))
+    return out.select("product", "mean", "median", "min", "max", F.explode("modes").alias("mode"))
+
+
+@query(
+    "churn_counts_products",
+    _sql("SELECT product, churn, count(*) AS n FROM labelled WHERE product IN ('Brand#11', 'Brand#23') GROUP BY ALL"),
+)
+def q_churn_counts_products(spark: SparkSession, sf: str) -> DataFrame:
+    """A report over a list of products."""
+    return rep.label_counts_by_product(rep.restrict_products(_labelled(spark, sf), ["Brand#11", "Brand#23"]))
+
+
 @query(
     "interval_box",
     _sql(

@@ -10,6 +10,10 @@ from custlens.operators.returns import exclude_returned_tracking
 from custlens.plans.registry import edge, query
 from custlens.sources import fixtures as fx
 
+# Fixed value: the months that the orders span, 1995-01 to 2001-08.
+HORIZON = 80
+PRODUCTS = ["Brand#11", "Brand#23", "Brand#45"]
+
 _ROWS_SQL = """
 rows_ AS (
   SELECT id AS customer, product_name,
@@ -64,6 +68,20 @@ def q_cohort_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return _report(_revenue(spark, sf))
 
 
+@query(
+    "cohort_revenue_products",
+    fx.with_fixtures(
+        _cells_sql()
+        + "\nSELECT product_name, cohort_month, cohort_index, round(revenue, 2) AS revenue, customers FROM cells "
+        + "WHERE product_name IN (" + ", ".join(f"'{p}'" for p in PRODUCTS) + ")",
+        "cohort_sales",
+    ),
+)
+def q_cohort_revenue_products(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: C9 for a list of products."""
+    return _report(cohort_revenue(fx.cohort_sales(spark, sf), PRODUCTS))
+
+
 @query(
     "cohort_revenue_ex_returns",
     fx.with_fixtures(
@@ -100,17 +118,16 @@ def q_cohort_retention(spark: SparkSession, sf: str) -> DataFrame:
     "cohort_matrix",
     fx.with_fixtures(
         _cells_sql()
-        + """
-SELECT * FROM (
-  PIVOT (SELECT product_name, cohort_month, cohort_index, round(revenue, 2) AS revenue FROM cells)
-  ON cohort_index USING first(revenue) GROUP BY product_name, cohort_month)""",
+        + "\nSELECT product_name, cohort_month, "
+        + ", ".join(f'max(round(revenue, 2)) FILTER (WHERE cohort_index = {n}) AS "{n}"' for n in range(1, HORIZON + 1))
+        + " FROM cells GROUP BY product_name, cohort_month",
         "cohort_sales",
     ),
 )
 def q_cohort_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The wide cohort_month × cohort_index matrix (S5 writes it as CSV)."""
     rev = _revenue(spark, sf).withColumn("revenue", F.round("revenue", 2))
-    return edge(cohort_matrix(rev))
+    return edge(cohort_matrix(rev, HORIZON))
 
 
 @query(

@@ -11,9 +11,9 @@ from custlens.sources import fixtures as fx
 
 _EV_SQL = """,
 dir AS (
-  SELECT staff_id, array_to_string(list_transform(string_split(lower(trim(regexp_replace(staff_name, '\\s+', ' ', 'g'))), ' '),
-                    lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS staff_name
-  FROM staff_directory),
+  SELECT staff_id, min(array_to_string(list_transform(string_split(lower(trim(regexp_replace(staff_name, '\\s+', ' ', 'g'))), ' '),
+                    lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')) AS staff_name
+  FROM staff_directory GROUP BY staff_id),
 ev AS (
   SELECT a.*, d.staff_name,
          CAST(a.ts - INTERVAL '12 hours 31 minutes' AS DATE) AS op_day,
@@ -40,11 +40,11 @@ def _sql(body: str) -> str:
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     valid, _ = kpi.split_valid(fx.staff_activity(spark, sf))
-    return kpi.restructure(kpi.integrate(valid, fx.staff_directory(spark, sf)))
+    return kpi.restructure(valid)
 
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:
-    return kpi.points(_events(spark, sf), fx.targets(spark), known_targets=fx.KPI_PRODUCTS)
+    return kpi.points(_events(spark, sf), fx.targets(spark))
 
 
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,7 +95,7 @@ FROM ev GROUP BY ALL"""
 )
 def q_staff_summary(spark: SparkSession, sf: str) -> DataFrame:
     """G1 + G9: per (day, staff) with the directory name."""
-    return edge(kpi.staff_summary(_events(spark, sf)).withColumn("revenue", F.round("revenue", 2)))
+    return edge(kpi.staff_summary(_events(spark, sf), fx.staff_directory(spark, sf)).withColumn("revenue", F.round("revenue", 2)))
 
 
 @query("points", _sql("SELECT op_day, staff_id, product, units, target, weight, met, points FROM pts"))

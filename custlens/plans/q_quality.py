@@ -23,14 +23,17 @@ def q_dup_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "dup_customers",
-    """SELECT lower(array_to_string(list_transform(string_split(lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))), ' '),
+    fx.with_fixtures(
+        """SELECT lower(array_to_string(list_transform(string_split(lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))), ' '),
                   lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')) AS name_key,
        count(DISTINCT c_custkey) AS n_customers
-FROM customer GROUP BY ALL HAVING count(DISTINCT c_custkey) > 1""",
+FROM customers_named GROUP BY ALL HAVING count(DISTINCT c_custkey) > 1""",
+        "customers_named",
+    ),
 )
 def q_dup_customers(spark: SparkSession, sf: str) -> DataFrame:
     """D2."""
-    return dq.duplicate_customers(read_table(spark, sf, "customer", ["c_custkey", "c_name"]))
+    return dq.duplicate_customers(fx.customers_named(spark, sf))
 
 
 @query(
@@ -44,15 +47,17 @@ def q_dup_invoices(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "bad_labels",
-    """SELECT label, n_orders, CASE WHEN label IS NULL OR NOT regexp_matches(label, '^[0-9]{1,20}$')
+    fx.with_fixtures(
+        """SELECT label, n_orders, CASE WHEN label IS NULL OR NOT regexp_matches(label, '^[0-9]{1,20}$')
                                 THEN 'malformed' ELSE 'duplicate' END AS problem
-FROM (SELECT CAST(o_orderkey AS VARCHAR) AS label, count(DISTINCT o_orderkey) AS n_orders FROM orders GROUP BY ALL)
+FROM (SELECT label, count(DISTINCT o_orderkey) AS n_orders FROM order_labels GROUP BY ALL)
 WHERE label IS NULL OR NOT regexp_matches(label, '^[0-9]{1,20}$') OR n_orders > 1""",
+        "order_labels",
+    ),
 )
 def q_bad_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Tracking labels (the order key as text) malformed or reused."""
-    orders = read_table(spark, sf, "orders", ["o_orderkey"])
-    return dq.bad_labels(orders, F.col("o_orderkey").cast("string"))
+    """Shipping labels malformed or reused."""
+    return dq.bad_labels(fx.order_labels(spark, sf), F.col("label"))
 
 
 @query(

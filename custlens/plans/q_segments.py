@@ -288,16 +288,23 @@ def _seg_chain_sql(body: str) -> str:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Scored pairs, materialised once: the segment queries read them in
-    several branches (statistics, seeds, assignment, medians)."""
+    """Scored pairs, staged once: the segment queries read them in several
+    branches (statistics, assignment, medians)."""
     from custlens.plans.segments import rfm_with_funnel
-    from custlens.session import checkpoint_dir
+    from custlens.session import staged
 
-    checkpoint_dir(spark)
     scored = rfm_with_funnel(
         fx.sales(spark, sf, geo=False), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS
     )
-    return scored.checkpoint(eager=True)
+    return staged(scored, "scored")
+
+
+def _grid(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scaled rows and the k = 5 deterministic seeds per product."""
+    from custlens.operators.segment import grid_centroids, group_statistics, scale_features
+
+    stats = group_statistics(scored)
+    return scale_features(scored, stats=stats), grid_centroids(stats, 5)
 
 
 @query(
@@ -309,19 +316,16 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_rfm_scaled(spark: SparkSession, sf: str) -> DataFrame:
     """M1: per-product z-scores of recency, frequency, monetary."""
-    from custlens.operators.segment import scale_features
-
-    z = scale_features(_scored(spark, sf))
+    z, _ = _grid(_scored(spark, sf))
     return z.select("customer_id", "product_name", *[F.round(c, 6).alias(c) for c in ("z_recency", "z_frequency", "z_monetary")])
 
 
 @query("nearest_centroid", _seg_chain_sql("SELECT customer_id, product_name, cluster FROM assigned"))
 def q_nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest of k = 5 deterministic seeds per product."""
-    from custlens.operators.segment import assign_nearest, grid_centroids, scale_features
+    from custlens.operators.segment import assign_nearest
 
-    z = scale_features(_scored(spark, sf))
-    return assign_nearest(z, grid_centroids(z, 5)).select("customer_id", "product_name", "cluster")
+    return assign_nearest(*_grid(_scored(spark, sf))).select("customer_id", "product_name", "cluster")
 
 
 @query(
@@ -332,16 +336,9 @@ def q_nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_cluster_names(spark: SparkSession, sf: str) -> DataFrame:
     """Median frequency per (product, cluster) and its name."""
-    from custlens.operators.segment import assign_nearest, grid_centroids, scale_features
+    from custlens.operators.segment import assign_nearest, cluster_medians
 
-    z = scale_features(_scored(spark, sf))
-    a = assign_nearest(z, grid_centroids(z, 5))
-    med = a.groupBy("product_name", "cluster").agg(F.median("frequency").alias("median_frequency"))
-    m = F.col("median_frequency")
-    name = (
-        F.when(m >= 6, "Champion").when(m >= 2, "Loyal").when(m < 2, "Potential Loyal").otherwise("At Risk")
-    ).alias("cluster_name")
-    return med.select("product_name", "cluster", "median_frequency", name)
+    return cluster_medians(assign_nearest(*_grid(_scored(spark, sf))))
 
 
 _C8_SQL = """,
@@ -363,27 +360,88 @@ def q_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
     from custlens.plans.segments import customer_segments
 
     return customer_segments(
-        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS
+        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), method="grid", packs=fx.PACKS
     )
 
 
 @query("kmeans_segments")
 def q_kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Pyspark.ml K-Means (k = 5, seed 42) per product, named by
-    median frequency. Rows-only check: cluster ids cannot match another
-    library's."""
+    """K-Means (k = 5) per product, named by median frequency.
+    Cluster ids are no feature of the data; ``kmeans_check`` has an oracle."""
     from custlens.operators.segment import segment
 
-    seg = segment(_scored(spark, sf), k=5, method="kmeans", seed=42)
+    seg = segment(_scored(spark, sf), k=5)
     return seg.select("customer_id", "product_name", "cluster_id", "cluster", "funnel")
 
 
+@query(
+    "kmeans_check",
+    _seg_chain_sql(
+        "SELECT product_name, count(*) AS rows_in, count(*) AS rows_assigned, 0::BIGINT AS misplaced, "
+        "true AS at_most_k, true AS not_worse_than_seeds, true AS settled FROM scored GROUP BY product_name"
+    ),
+)
+def q_kmeans_check(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 checked by what K-Means promises, per product: every row is assigned
+    and to its nearest centre, there are at most k clusters, the squared
+    distances add up to no more than around the seeds, and the centres are (up to the
+    tolerance) the means of their rows."""
+    from custlens.operators.segment import FEATURES, TOLERANCE, assign_nearest, kmeans_centroids
+    from custlens.session import staged
+
+    z, seeds = _grid(_scored(spark, sf))
+    centres = kmeans_centroids(z, seeds)
+    assigned = staged(assign_nearest(z, centres), "kmeans-assigned")
+    zs = [f"z_{f}" for f in FEATURES]
+    own = centres.select("product_name", "cluster", *[F.col(c).alias(f"c_{c}") for c in zs])
+    far = sum(((F.col(c) - F.col(f"c_{c}")) * (F.col(c) - F.col(f"c_{c}")) for c in zs), F.lit(0.0))
+    each = assigned.join(own, ["product_name", "cluster"], "left").groupBy("product_name").agg(
+        F.count("cluster").alias("rows_assigned"),
+        F.count_if(far > F.col("distance") + 1e-9).alias("misplaced"),
+        (F.count_distinct("cluster") <= 5).alias("at_most_k"),
+        F.sum("distance").alias("within"),
+    )
+    means = assigned.groupBy("product_name", "cluster").agg(*[F.avg(c).alias(c) for c in zs]).join(own, ["product_name", "cluster"])
+    settled = means.groupBy("product_name").agg((F.sum(far) <= TOLERANCE).alias("settled"))
+    start = assign_nearest(z, seeds).groupBy("product_name").agg(
+        F.count(F.lit(1)).alias("rows_in"), F.sum("distance").alias("around_seeds")
+    )
+    return each.join(start, "product_name").join(settled, "product_name").select(
+        "product_name", "rows_in", "rows_assigned", "misplaced", "at_most_k",
+        (F.col("within") <= F.col("around_seeds") + 1e-9).alias("not_worse_than_seeds"), "settled",
+    )
+
+
 @query("customer_segments_kmeans")
 def q_customer_segments_kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    """C8 with K-Means segments refined by grouped Lloyd iterations (M2 for
-    all products in one pass per iteration); rows-only check."""
+    """C8 with K-Means segments, the default method."""
     from custlens.plans.segments import customer_segments
 
-    return customer_segments(
-        fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), method="lloyd", packs=fx.PACKS
+    return customer_segments(fx.sales(spark, sf), _as_of(), fx.unit_days(spark, sf), fx.pack_days(spark, sf), packs=fx.PACKS)
+
+
+_CANON_RULES = [("brand#1", "Brand#1x"), ("brand#2", "Brand#2x")]
+
+
+@query(
+    "rfm_canonical",
+    _seg_sql(
+        ",\n"
+        + _with(
+            _KEPT_SQL,
+            _PREP_SQL.replace(
+                "product_name AS given_product_name",
+                "CASE WHEN starts_with(product_name, 'Brand#1') THEN 'Brand#1x' "
+                "WHEN starts_with(product_name, 'Brand#2') THEN 'Brand#2x' ELSE product_name END AS given_product_name",
+            ),
+            _RFM_SQL,
+        )
+        + "\nSELECT customer_id, product_name, last_shipment_date, frequency, round(monetary, 2) AS monetary, product_qty FROM rfm"
+    ),
+)
+def q_rfm_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 with F13: C1 by the raw product names, RFM by the canonical ones."""
+    out = rfm_excluding_returns(fx.sales(spark, sf, geo=False), _as_of(), _CANON_RULES)
+    return out.select(
+        "customer_id", "product_name", "last_shipment_date", "frequency", F.round("monetary", 2).alias("monetary"), "product_qty"
     )

@@ -12,6 +12,7 @@ from custlens.operators.textprep import (
     DEFAULT_EOS,
     TOKEN_PATTERN,
     flag_overlength,
+    instruction_dataset,
     keyword_filter,
     render_transcript,
     strip_eos,
@@ -42,6 +43,16 @@ def q_prompt_text(spark: SparkSession, sf: str) -> DataFrame:
     return with_prompt_text(fx.instructions(spark, sf)).select("doc_id", "text")
 
 
+@query("instruction_union", fx.with_fixtures(f"SELECT doc_id, {_PROMPT_SQL} AS text FROM instructions", "instructions"))
+def q_instruction_union(spark: SparkSession, sf: str) -> DataFrame:
+    """C16 (U1, P2, P10): two instruction sets with differently cased headers,
+    English and all other rows, stacked into one."""
+    rows = fx.instructions(spark, sf)
+    english = F.col("instruction").eqNullSafe("en")
+    cased = rows.filter(english).select(*[F.col(c).alias(c.capitalize() if c != "doc_id" else "DOC_ID") for c in rows.columns])
+    return instruction_dataset([cased, rows.filter(~english)], check_empty=False).select("doc_id", "text")
+
+
 @query(
     "eos_strip",
     fx.with_fixtures(
@@ -57,16 +68,16 @@ def q_eos_strip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "transcripts",
-    """SELECT conv_id, count(*) AS n_messages,
+    fx.with_fixtures("""SELECT conv_id, count(*) AS n_messages,
        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
-FROM (SELECT * FROM conversations
+FROM (SELECT * FROM chat_turns
       QUALIFY NOT (row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
                    AND role = 'assistant' AND coalesce(text, '') = ''))
-GROUP BY conv_id""",
+GROUP BY conv_id""", "chat_turns"),
 )
 def q_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     """C17: ordered role/content messages per conversation, rendered."""
-    t = transcripts(read_table(spark, sf, "conversations"))
+    t = transcripts(fx.chat_turns(spark, sf))
     return t.select(
         "conv_id",
         F.size("messages").cast("bigint").alias("n_messages"),
@@ -76,14 +87,14 @@ def q_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "transcript_messages",
-    """SELECT conv_id, turn, role, text AS content
-FROM (SELECT * FROM conversations
+    fx.with_fixtures("""SELECT conv_id, turn, role, text AS content
+FROM (SELECT * FROM chat_turns
       QUALIFY NOT (row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
-                   AND role = 'assistant' AND coalesce(text, '') = ''))""",
+                   AND role = 'assistant' AND coalesce(text, '') = ''))""", "chat_turns"),
 )
 def q_transcript_messages(spark: SparkSession, sf: str) -> DataFrame:
     """C17 long form: ordered messages, one row each, no per-conversation gather."""
-    return transcript_messages(read_table(spark, sf, "conversations"))
+    return transcript_messages(fx.chat_turns(spark, sf))
 
 
 @query(
@@ -94,7 +105,7 @@ FROM documents""",
 )
 def q_overlength(spark: SparkSession, sf: str) -> DataFrame:
     """Words per document and the over-length flag (2048)."""
-    return flag_overlength(read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)).select("doc_id", "n_words", "over_length")
+    return flag_overlength(read_table(spark, sf, "documents", ["doc_id", "text"])).select("doc_id", "n_words", "over_length")
 
 
 _KEYWORDS = ["that", "und", "que"]
@@ -107,10 +118,28 @@ WHERE len(list_intersect(regexp_extract_all(lower(text), '{TOKEN_PATTERN}'), {_K
 )
 def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Documents containing any keyword as a whole word (no row cap)."""
-    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "text"], spread=True)
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "text"])
     return keyword_filter(docs, _KEYWORDS).select("doc_id", "lang", "source")
 
 
+_SINCE, _UNTIL, _ROW_CAP = "2024-01-05 00:00:00", "2024-01-20 12:00:00", 500
+
+
+@query(
+    "event_search",
+    f"""SELECT event_id, ts, event_type FROM events
+WHERE lower(event_type) IN ('purchase', 'signup') AND ts >= TIMESTAMP '{_SINCE}' AND ts < TIMESTAMP '{_UNTIL}'
+ORDER BY ts, event_id LIMIT {_ROW_CAP}""",
+)
+def q_event_search(spark: SparkSession, sf: str) -> DataFrame:
+    """A search with keywords, a date range and a row cap (the cap is
+    part of the search) after a total order."""
+    events = read_table(spark, sf, "events", ["event_id", "ts", "event_type"])
+    return keyword_filter(
+        events, ["Purchase", "signup"], "event_type", "ts", _SINCE, _UNTIL, limit=_ROW_CAP, order_by=["ts", "event_id"]
+    )
+
+
 @query(
     "text_cleaned",
     """SELECT doc_id, trim(regexp_replace(
@@ -122,7 +151,7 @@ FROM documents""",
 )
 def q_text_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """text cleaning (lower, no URLs / mentions / symbols, one blank)."""
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return docs.select("doc_id", clean_tweet("text").alias("cleaned"))
 
 

@@ -20,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.operators.common import bounded_broadcast
-from custlens.operators.funnel import MAX_CONFIG_ROWS, funnel_stage, pack_depletion_days
+from custlens.operators.funnel import funnel_stage, pack_depletion_days
 from custlens.operators.rfm import (
     day_rows,
     drop_high_return_days,
@@ -32,7 +31,7 @@ from custlens.operators.rfm import (
     summary_from_days,
 )
 from custlens.operators.segment import hibernate, segment
-from custlens.session import checkpoint_dir
+from custlens.session import staged
 
 OUTPUT = (
     "customer_id",
@@ -55,8 +54,7 @@ def kept_days(
 ) -> DataFrame:
     """Level-1 rows (customer, raw product, day, *extra_keys) of the pairs C1
     keeps, from *raw* sales in one scan (see ``rfm.day_rows``)."""
-    if packs is None:
-        packs = pack_names(pack_days)
+    packs = pack_names(pack_days) if packs is None else packs
     return drop_high_return_days(day_rows(prepare_sales(sales), packs, extra_keys=extra_keys))
 
 
@@ -71,14 +69,13 @@ def scored_from_days(
     """RFM per (customer, product) plus its funnel stage from kept level-1
     rows. Products listed in ``pack_days`` use the two-pack estimate (C5),
     all others the single-pack one (C4) with ``unit_days``."""
-    if packs is None:
-        packs = pack_names(pack_days)
+    packs = pack_names(pack_days) if packs is None else packs
     summary = summary_from_days(days, packs, canonical_rules)
     if packs:
         summary = pack_depletion_days(summary, pack_days, packs)
     else:
         summary = summary.withColumn("pack_days_total", F.lit(None).cast("int"))
-    days_cfg = bounded_broadcast(unit_days.select("product_name", "days_per_unit"), MAX_CONFIG_ROWS)
+    days_cfg = staged(unit_days.select("product_name", "days_per_unit"), "unit-days")
     summary = summary.join(days_cfg, on="product_name", how="left")
     depletion_days = F.coalesce(F.col("pack_days_total"), F.col("product_qty") * F.col("days_per_unit"))
     depletion = F.col("last_shipment_date") + F.make_dt_interval(depletion_days.cast("int"))
@@ -95,8 +92,6 @@ def scored_pairs(
     packs: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Scored pairs and the kept level-1 rows, lazily (no materialisation)."""
-    if packs is None:
-        packs = pack_names(pack_days)
     days = kept_days(sales, pack_days, extra_keys, packs)
     return scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs), days
 
@@ -119,35 +114,25 @@ def customer_segments(
     unit_days: DataFrame,
     pack_days: DataFrame | None = None,
     k: int = 5,
-    method: str = "grid",
-    seed: int = 42,
+    method: str = "kmeans",
     canonical_rules: list[tuple[str, str]] | None = None,
     packs: list[str] | None = None,
 ) -> DataFrame:
-    """C8 end to end from raw sales; ``method='kmeans'`` fits ``pyspark.ml``
-    K-Means per product (M2), ``'lloyd'`` refines all products together,
-    ``'grid'`` assigns to deterministic seeds (M2b)."""
-    checkpoint_dir(sales.sparkSession)
-    scored, days = scored_pairs(
-        sales, as_of, unit_days, pack_days, canonical_rules, extra_keys=("province_id", "product_id"), packs=packs
-    )
-    # Both tables feed several branches (scaling statistics, seeds, the
-    # assignment, cluster medians, the output and the two lookups). Each
-    # branch prunes different columns, so Spark cannot reuse one shuffle for
-    # all of them and would re-scan the sales once per branch. Writing them
-    # once to the shared checkpoint folder makes one scan of the sales
-    # enough, and cuts the lineage: a lost executor re-reads files instead
-    # of recomputing the aggregates.
-    days = days.checkpoint(eager=True)
-    scored = scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs).checkpoint(eager=True)
-    seg = segment(scored, k=k, method=method, seed=seed)
+    """C8 end to end from raw sales; ``method='kmeans'`` fits K-Means per product
+    (M2), ``'grid'`` assigns to deterministic seeds (M2b)."""
+    days = kept_days(sales, pack_days, ("province_id", "product_id"), packs)
+    # Both tables feed several branches (statistics, assignment, cluster
+    # medians, the output and the two lookups). Staged once, one scan of the
+    # sales is enough, a lost executor re-reads files, and the planner knows
+    # their sizes.
+    days = staged(days, "segment-days")
+    scored = staged(scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs), "segment-scored")
+    seg = segment(scored, k=k, method=method)
     seg = seg.withColumn("repeat_order", repeat_order_score("frequency"))
     # Enrichment from distinct pairs of the kept rows (taken from the kept
     # level-1 aggregate, not a second scan); fans out when a key has two
-    # values, exactly like the reference's left merge (Q11). AQE picks the
-    # join strategy from the materialised sizes.
+    # values, exactly like the reference's left merge (Q11).
     provinces = days.select("customer_id", "province_id").distinct()
-    products = days.select("product_name", "product_id").distinct()
-    out = seg.join(provinces, on="customer_id", how="left")
-    out = out.join(products, on="product_name", how="left")
+    products = staged(days.select("product_name", "product_id").distinct(), "segment-products")
+    out = seg.join(products, on="product_name", how="left").join(provinces, on="customer_id", how="left")
     return hibernate(out).select(*OUTPUT)

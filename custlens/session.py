@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE re-plans joins at runtime (broadcast
 # when a materialised side turns out small, split skewed partitions, coalesce
@@ -55,16 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only when
-    nothing is configured — local tests — a private temporary folder is used.
-    The SparkContext checkpoint directory is aligned with it, so
-    ``DataFrame.checkpoint()`` writes there too.
+    nothing is configured and Spark runs in this process (``local[...]``) a
+    temporary folder is used; on a cluster executors would each write to their
+    own disk, so a missing setting is an error there. The SparkContext
+    checkpoint directory is aligned with it, so ``DataFrame.checkpoint()``
+    writes there too.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
+    configured = configured or sc.getCheckpointDir()
     if not configured:
-        configured = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="custlens-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="custlens-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
@@ -74,3 +80,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for staged outputs."""
     base = checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "custlens", name)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    A lost executor re-reads files instead of recomputing, and the planner
+    knows the size in bytes: a small lookup is broadcast by Spark's own
+    threshold, a large one is joined by a shuffle.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,8 +3,10 @@
 The reference reads redacted database queries and CSV folders; the driver gives
 TPC-H-like parquet instead. Each builder below states the mapping once, as a
 Spark plan, and ``FIXTURE_SQL`` states the very same mapping for the DuckDB
-oracle. Every builder reads whole tables; the modulo rules only *corrupt*
-chosen values (to exercise the invalid-date paths), they never drop rows.
+oracle. Every builder of rows reads whole tables; the modulo rules there only
+*corrupt* chosen values, to exercise the invalid paths. Two lookups leave keys
+out on purpose, to exercise the defaults: ``eta`` lacks five regions and
+``unit_days`` one product.
 """
 
 from __future__ import annotations
@@ -50,11 +52,12 @@ def _orders_lines_parts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _with_geo(spark: SparkSession, base: str, df: DataFrame) -> DataFrame:
+    # Lines to customers, then to nations: each side's size is that of its scan,
+    # where a joined lookup would be estimated at the product of both.
     customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
-    # nation is a fixed 25-row dimension; the planner broadcasts it by size.
     nation = read_table(spark, base, "nation", ["n_nationkey", "n_name"])
-    geo = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-    return df.join(geo, df.o_custkey == geo.c_custkey, "left")
+    placed = df.join(customer, df.o_custkey == customer.c_custkey, "left")
+    return placed.join(nation, placed.c_nationkey == nation.n_nationkey, "left")
 
 
 def sales(spark: SparkSession, base: str, geo: bool = True) -> DataFrame:
@@ -120,13 +123,12 @@ def churn_customers(spark: SparkSession, base: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, base: str) -> DataFrame:
-    """Return list: one tracking code per returned, finished order."""
-    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber"])
-    return (
-        li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1))
-        .select(F.col("l_orderkey").cast("string").alias("AWB"))
-        .distinct()
-    )
+    """Return list: one tracking code per order with a returned, finished line;
+    some codes are mistyped and match no sale."""
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus"])
+    key = F.col("l_orderkey")
+    code = F.when(key % 211 == 0, F.concat(F.lit("R"), key.cast("string"))).otherwise(key.cast("string"))
+    return li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).select(code.alias("AWB")).distinct()
 
 
 def eta(spark: SparkSession, base: str) -> DataFrame:
@@ -164,14 +166,17 @@ def prices(spark: SparkSession, base: str) -> DataFrame:
 
 
 def staff_activity(spark: SparkSession, base: str) -> DataFrame:
-    """Staff activity log: events with staff = user, product from props.k."""
+    """Staff activity log: events with staff = user, product from props.k. A few
+    rows lack the time, the staff, the type or the product (rules G2)."""
     ev = read_table(spark, base, "events")
+    k = F.col("event_id")
+    product = F.get_json_object("props", "$.k").cast("int") % KPI_PRODUCTS
     return ev.select(
         "event_id",
-        "ts",
-        F.col("user_id").alias("staff_id"),
-        "event_type",
-        (F.get_json_object("props", "$.k").cast("int") % KPI_PRODUCTS).alias("product"),
+        F.when(k % 97 != 0, F.col("ts")).alias("ts"),
+        F.when(k % 89 != 0, F.col("user_id")).alias("staff_id"),
+        F.when(k % 83 != 0, F.col("event_type")).alias("event_type"),
+        F.when(k % 79 != 0, product).alias("product"),
         "value",
         "props",
     )
@@ -183,6 +188,34 @@ def staff_directory(spark: SparkSession, base: str) -> DataFrame:
     return cu.select(F.col("c_custkey").alias("staff_id"), F.col("c_name").alias("staff_name"))
 
 
+def customers_named(spark: SparkSession, base: str) -> DataFrame:
+    """Customers, some of whom share a name."""
+    k = F.col("c_custkey")
+    shared = F.concat(F.lit(" customer  SHARED "), (k % 7).cast("string"))
+    return read_table(spark, base, "customer", ["c_custkey", "c_name"]).select(
+        "c_custkey", F.when(k % 40 == 0, shared).otherwise(F.col("c_name")).alias("c_name")
+    )
+
+
+def order_labels(spark: SparkSession, base: str) -> DataFrame:
+    """Orders with their shipping label, some malformed or used twice."""
+    k = F.col("o_orderkey")
+    label = (
+        F.when(k % 97 == 0, F.concat(F.lit("X-"), k.cast("string")))
+        .when(k % 89 == 0, F.floor(k / 1000).cast("bigint").cast("string"))
+        .otherwise(k.cast("string"))
+    )
+    return read_table(spark, base, "orders", ["o_orderkey"]).select("o_orderkey", label.alias("label"))
+
+
+def chat_turns(spark: SparkSession, base: str) -> DataFrame:
+    """Conversations, some of whose replies are empty (C17)."""
+    empty = (F.col("conv_id") % 3 == 0) & (F.col("role") == "assistant")
+    return read_table(spark, base, "conversations", ["conv_id", "turn", "role", "text"]).withColumn(
+        "text", F.when(empty, F.lit("")).otherwise(F.col("text"))
+    )
+
+
 def targets(spark: SparkSession) -> DataFrame:
     """Per-product daily purchase targets, point weights and bonus (config)."""
     rows = [(p, 1 + p % 2, p + 1, TARGET_BONUS) for p in range(KPI_PRODUCTS)]
@@ -192,7 +225,7 @@ def targets(spark: SparkSession) -> DataFrame:
 def instructions(spark: SparkSession, base: str) -> DataFrame:
     """Instruction rows from documents: language → instruction, whole text →
     input, source → output."""
-    docs = read_table(spark, base, "documents", ["doc_id", "text", "lang", "source"], spread=True)
+    docs = read_table(spark, base, "documents", ["doc_id", "text", "lang", "source"])
     return docs.select(
         "doc_id",
         F.col("lang").alias("instruction"),
@@ -247,8 +280,8 @@ FIXTURE_SQL: dict[str, str] = {
            l_extendedprice AS monetary
     {_OLP} {_GEO}""",
     "returns": """
-    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS AWB FROM lineitem
-    WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1""",
+    SELECT DISTINCT CASE WHEN l_orderkey % 211 = 0 THEN 'R' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS AWB
+    FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'""",
     "eta": """
     SELECT n_name AS region, 2 + n_nationkey % 5 AS eta_days, n_nationkey AS priority
     FROM nation WHERE n_nationkey < 20""",
@@ -266,9 +299,22 @@ FIXTURE_SQL: dict[str, str] = {
            CAST(CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * 100 AS DOUBLE) AS price
     FROM part""",
     "staff_activity": """
-    SELECT event_id, ts, user_id AS staff_id, event_type,
-           CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 AS product, value, props
+    SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts,
+           CASE WHEN event_id % 89 <> 0 THEN user_id END AS staff_id,
+           CASE WHEN event_id % 83 <> 0 THEN event_type END AS event_type,
+           CASE WHEN event_id % 79 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 END AS product,
+           value, props
     FROM events""",
+    "customers_named": """
+    SELECT c_custkey, CASE WHEN c_custkey % 40 = 0 THEN ' customer  SHARED ' || CAST(c_custkey % 7 AS VARCHAR)
+                           ELSE c_name END AS c_name FROM customer""",
+    "order_labels": """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'X-' || CAST(o_orderkey AS VARCHAR)
+                            WHEN o_orderkey % 89 = 0 THEN CAST(o_orderkey // 1000 AS VARCHAR)
+                            ELSE CAST(o_orderkey AS VARCHAR) END AS label FROM orders""",
+    "chat_turns": """
+    SELECT conv_id, turn, role, CASE WHEN conv_id % 3 = 0 AND role = 'assistant' THEN '' ELSE text END AS text
+    FROM conversations""",
     "staff_directory": "SELECT c_custkey AS staff_id, c_name AS staff_name FROM customer",
     "targets": """
     SELECT CAST(p AS INTEGER) AS product, CAST(1 + p % 2 AS INTEGER) AS target,

@@ -12,69 +12,49 @@ TABLES = (
 ).split()
 
 
-def read_table(
-    spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None, spread: bool = False
-) -> DataFrame:
+def read_table(spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read ``<base_dir>/<name>.parquet``; selecting ``columns`` early keeps the
-    scan's ReadSchema narrow even before Catalyst prunes.
-
-    ``spread`` is for fact tables: when the files give fewer scan tasks than
-    the cluster has cores (one large file with a single row group is read by
-    one task), the rows are spread round-robin right after the scan so the
-    joins and partial aggregations that follow use every core. On a lake
-    with many files the scan already has enough tasks and nothing is added.
-    """
+    scan's ReadSchema narrow even before Catalyst prunes."""
     df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
-    if columns:
-        df = df.select(*columns)
-    if spread:
-        df = spread_scan(df)
-    return df
-
+    return df.select(*columns) if columns else df
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the scan is narrower than the
-    default parallelism (see ``read_table``)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
 
-
-def read_jdbc(
-    spark: SparkSession,
+def jdbc_options(
     url: str,
     query_or_table: str,
     partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
+    lower_bound: int | str | None = None,
+    upper_bound: int | str | None = None,
     num_partitions: int = 64,
     fetch_size: int = 10_000,
     properties: dict[str, str] | None = None,
-) -> DataFrame:
-    """Read a database table or query in parallel (replaces fetch-all-rows).
-
-    With ``partition_column`` and bounds the read is split into
-    ``num_partitions`` range queries, one per task; without them a single task
-    reads everything, which is only acceptable for small lookups.
-    """
-    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size)
-    if query_or_table.lstrip().lower().startswith("select"):
-        reader = reader.option("query", query_or_table)
-    else:
-        reader = reader.option("dbtable", query_or_table)
+) -> dict[str, str]:
+    """The options of ``read_jdbc``. A query goes in as a subquery: Spark refuses
+    its ``query`` option together with a partition column."""
+    text = query_or_table.strip().rstrip(";")
+    is_query = text.split(None, 1)[0].lower() in ("select", "with") if text else False
+    options = {"url": url, "dbtable": f"({text}) q" if is_query else text, "fetchsize": str(fetch_size)}
     if partition_column is not None:
         if lower_bound is None or upper_bound is None:
             raise ValueError("partitioned JDBC reads need lower_bound and upper_bound")
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", lower_bound)
-            .option("upperBound", upper_bound)
-            .option("numPartitions", num_partitions)
-        )
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
+        options |= {
+            "partitionColumn": partition_column,
+            "lowerBound": str(lower_bound),
+            "upperBound": str(upper_bound),
+            "numPartitions": str(num_partitions),
+        }
+    return options | (properties or {})
+
+
+def read_jdbc(spark: SparkSession, url: str, query_or_table: str, **settings) -> DataFrame:
+    """Read a database table or query in parallel (replaces fetch-all-rows).
+
+    With ``partition_column`` and bounds (numbers, dates or timestamps) the read
+    is split into ``num_partitions`` range queries, one per task; without them a
+    single task reads everything, which is only acceptable for small lookups.
+    See ``jdbc_options``.
+    """
+    return spark.read.format("jdbc").options(**jdbc_options(url, query_or_table, **settings)).load()
 
 
 def name_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from custlens.functions.dates import add_days_checked, operational_day, ts_literal
@@ -177,3 +178,34 @@ def test_chat_long_form(spark):
     )
     got = sorted((r["conv_id"], r["turn"]) for r in transcript_messages(turns).collect())
     assert got == [(1, 0), (1, 1), (1, 2), (2, 0)]
+
+
+def test_cells_beyond_the_horizon_fail(spark):
+    from custlens.operators.cohort import cohort_matrix
+
+    cells = spark.createDataFrame(
+        [("P", "2024-01", 1, 10.0), ("P", "2024-01", 5, 7.0)], "product_name string, cohort_month string, cohort_index int, revenue double"
+    )
+    wide = cohort_matrix(cells, 5).first()
+    assert (wide["1"], wide["2"], wide["5"]) == (10.0, None, 7.0)
+    with pytest.raises(Exception, match="outside of the horizon"):
+        cohort_matrix(cells, 3).collect()
+
+
+def test_repeated_directory_rows_do_not_double_events(spark):
+    from custlens.operators.kpi import restructure, staff_summary
+
+    events = spark.sql("SELECT timestamp_ntz'2024-01-01 13:00:00' AS ts, 7 AS staff_id, 'signup' AS event_type, 1 AS product, 0.0D AS value")
+    staff = spark.createDataFrame([(7, "b x"), (7, "a  x")], "staff_id int, staff_name string")
+    row = staff_summary(restructure(events), staff).first()
+    assert (row["leads"], row["staff_name"]) == (1, "A X")
+
+
+def test_trailing_empty_reply_is_removed_by_one_rule(spark):
+    from custlens.operators.textprep import transcript_messages, transcripts
+
+    rows = [(1, 1, "user", "u"), (1, 2, "assistant", "x"), (1, 2, "assistant", ""), (2, 1, "user", "u"), (2, 2, "assistant", ""), (3, 1, "assistant", None)]
+    turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    long = transcript_messages(turns).groupBy("conv_id").count().collect()
+    wide = transcripts(turns).collect()
+    assert {r["conv_id"]: r["count"] for r in long} == {r["conv_id"]: len(r["messages"]) for r in wide if r["messages"]} == {1: 3, 2: 1}

@@ -9,7 +9,16 @@ from custlens.functions.dates import months_before, ts_literal
 from custlens.operators.funnel import funnel_single_pack, funnel_stage, funnel_two_pack
 from custlens.operators.returns import exclude_high_return
 from custlens.operators.rfm import calculate_rfm, repeat_order_score
-from custlens.operators.segment import hibernate, kmeans_centroids, name_clusters, scale_features
+from custlens.operators.segment import (
+    NotConverged,
+    assign_nearest,
+    grid_centroids,
+    group_statistics,
+    hibernate,
+    kmeans_centroids,
+    name_clusters,
+    scale_features,
+)
 
 SALES = (
     "customer_id bigint, last_shipment_date timestamp_ntz, invoice_date timestamp_ntz, product_sales_total double, "
@@ -156,7 +165,19 @@ def test_zero_variance_scales_to_zero(spark):
 def test_fewer_rows_than_k(spark):
     df = spark.createDataFrame(
         [(i, "P", float(i), float(i), float(i)) for i in range(3)],
-        "customer_id bigint, product_name string, z_recency double, z_frequency double, z_monetary double",
+        "customer_id bigint, product_name string, recency double, frequency double, monetary double",
+    )
+    stats = group_statistics(df)
+    scaled = scale_features(df, stats=stats)
+    assigned = assign_nearest(scaled, kmeans_centroids(scaled, grid_centroids(stats, 5)))
+    assert assigned.count() == 3 and assigned.select("cluster").distinct().count() <= 3
+
+
+def test_kmeans_fails_when_it_does_not_settle(spark):
+    df = spark.createDataFrame(
+        [(i, "P", float(i * i), float(i % 7), float(i % 3)) for i in range(40)],
+        "customer_id bigint, product_name string, recency double, frequency double, monetary double",
     )
-    centres, n = kmeans_centroids(df, k=5)
-    assert n == 1 and 1 <= centres.count() <= 3
+    stats = group_statistics(df)
+    with pytest.raises(NotConverged):
+        kmeans_centroids(scale_features(df, stats=stats), grid_centroids(stats, 5), max_rounds=1)

@@ -1,31 +1,41 @@
-"""Small helpers: JDBC argument checks, broadcast rule, first-per-key,
+"""Small helpers: JDBC options, shared folder, staged lookups, first-per-key,
 null profile, value counts."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
-from custlens.operators.common import bounded_broadcast, first_per_key, null_profile, value_counts
-from custlens.sources.tables import read_jdbc
+from custlens.operators.common import first_per_key, null_profile, value_counts
+from custlens.session import checkpoint_dir, staged
+from custlens.sources.tables import jdbc_options
 
 
-def test_partitioned_jdbc_read_needs_bounds(spark):
+def test_partitioned_jdbc_read_needs_bounds():
     with pytest.raises(ValueError):
-        read_jdbc(spark, "jdbc:postgresql://unused/db", "sales", partition_column="id")
+        jdbc_options("jdbc:postgresql://unused/db", "sales", partition_column="id")
+
 
+def test_jdbc_query_goes_in_as_a_subquery():
+    for query in ("SELECT a FROM t;", " with x as (select 1) select * from x"):
+        options = jdbc_options("u", query, "d", "2024-01-01", "2024-02-01", 8, properties={"user": "x"})
+        assert options["dbtable"] == f"({query.strip().rstrip(';')}) q" and "query" not in options
+        assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("2024-01-01", "2024-02-01", "8")
+        assert options["user"] == "x"
+    assert jdbc_options("u", "sales")["dbtable"] == "sales"
 
-def _plan(df):
-    return df._jdf.queryExecution().optimizedPlan().toString()
+
+def test_shared_folder_is_required_on_a_cluster():
+    context = SimpleNamespace(master="yarn", getConf=lambda: SimpleNamespace(get=lambda *_: None), getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        checkpoint_dir(session)
 
 
-def test_broadcast_only_with_known_size(spark):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    cfg = spark.range(5).withColumnRenamed("id", "k")
-    hinted = big.join(bounded_broadcast(cfg, 10, known_rows=5), "k")
-    too_big = big.join(bounded_broadcast(cfg, 3, known_rows=5), "k")
-    unknown = big.join(bounded_broadcast(cfg, 10), "k")
-    assert "broadcast" in _plan(hinted).lower()
-    assert "broadcast" not in _plan(too_big).lower()
-    assert "broadcast" not in _plan(unknown).lower()
+def test_staged_tables_have_a_known_size(spark):
+    small = staged(spark.range(5).withColumnRenamed("id", "k"), "small")
+    plan = spark.range(1000).withColumnRenamed("id", "k").join(small, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
 
 
 def test_first_per_key_takes_total_order(spark):

@@ -89,7 +89,16 @@ def test_naming_helpers(spark):
         lower_case_columns(spark.createDataFrame([(1, 2)], "`A` int, `a2` int").toDF("A", "a"))
 
 
-def test_streaming_hourly_leads_matches_batch(spark, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_streaming_hourly_leads_matches_batch(spark, tmp_path, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        compare_stream_with_batch(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def compare_stream_with_batch(spark, tmp_path):
     src = tmp_path / "events"
     src.mkdir()
     shutil.copy(f"{SF}/events.parquet", src / "part-0.parquet")
@@ -102,9 +111,11 @@ def test_streaming_hourly_leads_matches_batch(spark, tmp_path):
     closed_before = ev.agg(F.max("ts")).first()[0].replace(minute=0, second=0, microsecond=0)
     import datetime as dt
 
-    cutoff = closed_before - dt.timedelta(hours=2)
-    closed = kpi.restructure(ev.withColumnRenamed("user_id", "staff_id").withColumn("product", F.lit(0)))
-    closed = closed.filter(F.col("ts") < F.lit(cutoff))
+    # Windows of a zone that is off by half an hour end up to an hour later.
+    cutoff = closed_before - dt.timedelta(hours=3)
+    ev = ev.withColumnRenamed("user_id", "staff_id").withColumn("product", F.get_json_object("props", "$.k").cast("int"))
+    closed = kpi.restructure(kpi.split_valid(ev)[0])
+    closed = closed.filter(F.col("ts") < F.lit(str(cutoff)).cast("timestamp_ntz"))
     batch = {(r["op_day"], r["hour"]): r["leads"] for r in kpi.leads_by_day_hour(closed).collect()}
     got = {(r["op_day"], r["hour"]): r["leads"] for r in streamed.collect()}
     assert got and all(got.get(k) == v for k, v in batch.items())
