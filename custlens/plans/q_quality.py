@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.operators import quality as dq
 from custlens.plans.registry import edge, query
+from custlens.session import scratch_path
 from custlens.sources import fixtures as fx
-from custlens.sources.tables import read_table
+from custlens.sources.files import read_csv, read_csv_folder, write_csv
+from custlens.sources.tables import name_columns, read_table
 
 
 @query(
@@ -71,3 +75,25 @@ def q_bad_labels(spark: SparkSession, sf: str) -> DataFrame:
 def q_orphan_returns(spark: SparkSession, sf: str) -> DataFrame:
     """Returns without a matching sale."""
     return dq.orphan_returns(fx.returns(spark, sf), fx.cohort_sales(spark, sf))
+
+
+@query("returns_files", fx.with_fixtures("SELECT AWB, left(AWB, 1) AS reason FROM returns", "returns"))
+def q_returns_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S5, then S2 / U2: the return list written as CSV files under three
+    headers, with the columns in different order, and read back as one."""
+    codes = fx.returns(spark, sf).withColumn("reason", F.left("AWB", F.lit(1)))
+    folder = scratch_path(spark, f"returns-{uuid.uuid4().hex}")
+    part = F.pmod(F.xxhash64("AWB"), F.lit(3))
+    for n, columns in enumerate((["AWB", "reason"], ["reason", "AWB#"], ["Tracking Id", "reason"])):
+        layout = [F.col("reason") if c == "reason" else F.col("AWB").alias(c) for c in columns]
+        write_csv(codes.filter(part == n).select(*layout), f"{folder}/{n}")
+    return read_csv_folder(spark, folder, ["AWB", "AWB#", "Tracking Id"], "AWB", recursive=True).select("AWB", "reason")
+
+
+@query("eta_file", fx.with_fixtures("SELECT region, eta_days, priority FROM eta", "eta"))
+def q_eta_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The delivery times as a CSV file, read with a schema and named by position."""
+    path = scratch_path(spark, f"eta-{uuid.uuid4().hex}")
+    write_csv(fx.eta(spark, sf), path)
+    read = read_csv(spark, path, "r string, e int, p int")
+    return edge(name_columns(read, ["region", "eta_days", "priority"]))

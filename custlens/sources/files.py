@@ -3,40 +3,19 @@
 S2 is the interesting one: a folder of CSV exports whose headers differ
 (the tracking column is ``AWB`` in one, ``AWB#`` or ``Tracking Id`` in
 another, columns in any order). One ``read.csv(folder)`` would apply the
-first file's header to every file and silently shift values, so files are
-grouped by their header line — found in one distributed pass — and each
-group is parsed by one ``read.csv`` over all of its files.
+first file's header to every file and silently shift values. So the lines are
+read as text, the first line of every file is found by an aggregate, and each
+line is taken apart by the header of its own file.
 """
 
 from __future__ import annotations
 
+import csv
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_HEADER_GROUPS = 10_000
-
-
-def csv_header_groups(spark: SparkSession, folder: str, glob: str = "*.csv") -> dict[str, list[str]]:
-    """Map each distinct header line to the files that carry it.
-
-    ``binaryFile`` lists and reads the files in parallel; only the first line
-    of each comes back, and only distinct headers (bounded) reach the driver.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    first_line = F.regexp_replace(F.substring_index(F.decode("content", "UTF-8"), "\n", 1), "\r$", "")
-    grouped = (
-        files.select("path", first_line.alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .limit(MAX_HEADER_GROUPS + 1)
-        .collect()
-    )
-    if len(grouped) > MAX_HEADER_GROUPS:
-        raise ValueError("too many distinct CSV headers")
-    return {r["header"]: list(r["paths"]) for r in grouped}
-
 
 def read_csv_folder(
     spark: SparkSession,
@@ -44,24 +23,44 @@ def read_csv_folder(
     aliases: list[str],
     target: str,
     glob: str = "*.csv",
+    recursive: bool = False,
 ) -> DataFrame:
     """S2 + U2: read every CSV in ``folder``; in each file the **first** of
     ``aliases`` present is renamed ``target``; stack by column name with
-    missing columns NULL. All values are text (no inference)."""
-    frames = []
-    for _, paths in sorted(csv_header_groups(spark, folder, glob).items()):
-        df = spark.read.option("header", True).option("inferSchema", False).csv(paths)
-        for alias in aliases:
-            if alias in df.columns:
-                df = df.withColumnRenamed(alias, target)
-                break
-        frames.append(df)
-    if not frames:
+    missing columns NULL. All values are text (no inference).
+
+    Files are split like any text, and only the different headers come to the
+    driver, as the result's columns must be known there. A quoted value can't
+    hold a line break.
+    """
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    lines = reader.text(folder).select(
+        F.regexp_replace("value", "\r$", "").alias("_line"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    first = lines.filter("_start = 0").groupBy("_path").agg(F.min_by("_line", "_at").alias("_header"), F.min("_at").alias("_first"))
+    headers = [r["_header"] for r in first.select("_header").distinct().orderBy("_header").collect()]
+    if not headers:
         raise FileNotFoundError(f"no {glob} files in {folder}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    layouts = {}
+    for header in headers:
+        names = next(csv.reader([header]))
+        alias = next((x for x in aliases if x in names), None)
+        layouts[header] = [target if n == alias else n for n in names]
+    columns = list(dict.fromkeys(n for names in layouts.values() for n in names))
+    width = max(map(len, layouts.values()))
+    values = F.from_csv("_line", ", ".join(f"c{i} string" for i in range(width)))
+    rows = lines.join(first, "_path").filter("_at <> _first AND _line <> ''").select("_header", values.alias("_v"))
+    out = []
+    for name in columns:
+        value = F.lit(None).cast("string")
+        for header, names in layouts.items():
+            if name in names:
+                value = F.when(F.col("_header") == header, F.col(f"_v.c{names.index(name)}")).otherwise(value)
+        out.append(value.alias(name))
+    return rows.select(*out)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
