@@ -22,18 +22,21 @@ from custlens.llm import (
     warc,
 )
 from custlens.llm.common import table
+from custlens.llm.oracles import ORACLE  # noqa: F401  read by the entry point
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from any working folder.
+    """Settings of the session that the queries run in.
 
-    On a cluster the package is submitted with the job, as any Python dependency.
+    Python workers on this machine import the package from any working folder; on a
+    cluster it is submitted with the job, as any Python dependency.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    # Whole texts are long rows: this bounds the Arrow batches on both sides.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -59,7 +62,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(table(spark, sf_dir, "documents"))
+    found = quality.report(table(spark, sf_dir, "documents"))
+    rounded = {c: F.round(c, 6) for c in ("class_distance", "word_distance")}
+    return found.withColumns(rounded)
 
 
 @query
@@ -89,7 +94,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fm_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    found = fm_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 @query
