@@ -90,10 +90,10 @@ def assign_nearest(
 ) -> DataFrame:
     """Each row's nearest centroid of its own group (squared Euclidean
     distance; the lower cluster id wins a tie). Adds ``cluster`` and
-    ``distance``. The centres, k per group, come from a staged table, so that the
-    planner knows their size in bytes and broadcasts them."""
+    ``distance``. The centres, k per group, are staged: the planner broadcasts
+    them by their size in bytes."""
     centre = F.struct(F.col("cluster").cast("int").alias("cluster"), *[F.col(_z(f)) for f in features])
-    packed = centroids.groupBy(group_col).agg(F.collect_list(centre).alias("_centres"))
+    packed = staged(centroids.groupBy(group_col).agg(F.collect_list(centre).alias("_centres")), "segment-centres")
     best = F.array_min(
         F.transform("_centres", lambda c: F.struct(_distance(c, features).alias("d"), c["cluster"].alias("cluster")))
     )
