@@ -23,16 +23,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id."""
+    importable(spark)
     return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
+    importable(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    importable(spark)
     return mixing.mixed(docs)
 
 
@@ -49,12 +52,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", shard),
 ]
 
-# Random rounding and component search have no SQL form; see tests/llm/test_pipeline.py.
+# Random rounding and component search have no SQL form; see tests/llm/test_operators.py.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
