@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.llm.common import stage
@@ -67,17 +67,18 @@ def components(links: DataFrame) -> DataFrame:
     joins over the links; no group of links meets in one task.
     """
     thin = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_thinned, "a long, b long")
-    pairs = stage(thin.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    pairs = stage(thin.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links")
     known = None
     while True:
+        # The greater neighbours of u go to the least id around u. A hub may have any
+        # number of them: the least is an aggregate, and the join can be split.
         both = pairs.union(pairs.select("v", "u"))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), "links-large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        pairs = stage(small.where("u <> v").distinct(), "links-small")
+        # u and its neighbours, all smaller now, go to the least of them.
+        small = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        pairs = stage(small.where("u <> v").distinct(), "links-round")
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
         if state == known:
             break

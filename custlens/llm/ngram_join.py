@@ -16,10 +16,10 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
    Equal bucket hashes give star links, thinned on the map side; their connected
    components are the blocks.
 3. Within a block the sets meet once. Every class is a query against an inverted
-   index of the block: with required overlap T, the L longest of its lists are set aside, the short
-   lists are merged by a heap, and what occurs T - L times in them is looked up in the
-   long lists by binary search (DivideSkip). Documents that are in the query's component
-   already are skipped, as a link to them adds nothing.
+   index of the block: with required overlap T, the L longest of its lists are set aside, the
+   short lists are merged by a heap, and what occurs T - L times in them is looked up
+   in the long lists by binary search (DivideSkip). Sets that are in the query's component
+   already are taken out of the lists, as a link to them adds nothing.
    A block of more than ``BLOCK`` shingles is split: its parts are searched with
    some members shared, then every class outside of the block's largest component is searched
    against all parts. So no task holds more than a part, and no pair is left out.
@@ -35,6 +35,7 @@ extra columns are ignored. Sets are compared by 64-bit hashes of their shingles.
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
@@ -51,10 +52,12 @@ from custlens.llm.graph import Forest, components
 WORDS = 4
 PERCENT = 85
 BLOCK = 1_000_000
+FLUSH = 100_000  # signatures that a task gathers before it sends them
 PIVOTS = 64
 PART_BYTES = 16 << 20
-BAND = 1.6
-MU = 0.0085  # of the formula for the number of long lists
+BAND = 1.4  # ratio of the greatest to the least set size of a band
+LEAST_PERCENT = 75  # below it sets may differ in more shingles than buckets can be filled with
+MU = 0.001  # of the formula for the number of long lists; a look-up is cheap beside a merge step
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -77,42 +80,64 @@ def required(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def bucket_count(differ: int, size: int) -> tuple[int, int]:
+    """(buckets, empty ones allowed) for sets of ``size`` shingles or more that differ in ``differ`` at most.
+
+    More buckets cost more hashes, fewer make more sets repeat the round: the least
+    expected cost, by the normal approximation of the number of empty buckets.
+    """
+    best = None
+    for spare in range(1, differ + 8):
+        n = differ + 1 + spare
+        load = size / n
+        mean = n * math.exp(-load)
+        spread = math.sqrt(max(0.05, mean * (1 - math.exp(-load) * (1 + load))))
+        enough = 0.5 * (1 + math.erf((spare + 0.5 - mean) / spread / math.sqrt(2)))
+        cost = n / max(enough, 1e-9)
+        if best is None or cost < best[0]:
+            best = cost, n, spare
+    return best[1:]
+
+
 class Bands:
-    """Bands of set sizes, and for each the largest difference of a linked pair."""
+    """Bands of set sizes, and for each how many buckets its linked pairs need."""
 
     def __init__(self, percent: int) -> None:
+        if not LEAST_PERCENT <= percent <= 100:
+            raise ValueError(f"percent must be from {LEAST_PERCENT} to 100")
         self.percent = percent
         self.low = [1]
+        self.known: dict[int, tuple[int, int]] = {}
+
+    def _buckets(self, band: int) -> tuple[int, int]:
+        if band not in self.known:
+            high = self.low[band + 1] - 1
+            differ = (100 - self.percent) * (high + high * 100 // self.percent) // (100 + self.percent)
+            self.known[band] = bucket_count(differ, self.low[band]) if differ else (0, 0)
+        return self.known[band]
+
+    def rounds(self, n: int) -> list[tuple[int, int, int]]:
+        """(band, buckets, empty ones allowed) of the rounds of a set of ``n`` shingles.
 
-    def _to(self, n: int) -> None:
+        Pairs whose smaller set is in a band meet in that band's round. No buckets:
+        the linked sets of the band are equal.
+        """
         while self.low[-1] <= n:
-            low = self.low[-1]
             # Wide enough that a linked larger set is in the same band or the next one.
-            self.low.append(max(low + 1, int(low * max(BAND, 100 / self.percent * 1.05)) + 1))
-
-    def rounds(self, n: int) -> list[tuple[int, int]]:
-        """(band, differing shingles at most) that a set of ``n`` shingles takes part in."""
-        self._to(n)
+            ratio = max(BAND, 100 / self.percent * 1.05)
+            self.low.append(max(self.low[-1] + 1, int(self.low[-1] * ratio) + 1))
         own = bisect_left(self.low, n + 1) - 1
-        found = []
-        for band in (own - 1, own):
-            if band < 0 or (band < own and n * self.percent > 100 * (self.low[band + 1] - 1)):
-                continue
-            high = self.low[band + 1] - 1
-            both = high + high * 100 // self.percent
-            found.append((band, (100 - self.percent) * both // (100 + self.percent)))
-        return found
+        found = [(own, *self._buckets(own))]
+        if own and n * self.percent <= 100 * (self.low[own] - 1):
+            found.append((own - 1, *self._buckets(own - 1)))
+        return [f for f in found if f[1]]
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """Hashes of the contents of the buckets of a set."""
     out = []
     with np.errstate(over="ignore"):
-        for band, differ in bands.rounds(len(shingles)):
-            if differ < 1:
-                continue
-            spare = 1 + differ // 16
-            buckets = differ + 1 + spare
+        for band, buckets, spare in bands.rounds(len(shingles)):
             seed = 0
             while True:
                 salt = A.U64((band << 20 | seed) + 1) * A.STEP
@@ -168,30 +193,36 @@ def candidate_links(docs: DataFrame, words: int, percent: int, id_col: str, text
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // PART_BYTES) + 1
 
+    def packed(sigs: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        links, sig, least = _stars(np.concatenate(sigs), np.concatenate(ids))
+        part = (sig % A.U64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        rows = np.stack([sig[order].view(np.int64), least[order]], axis=1)
+        cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+        blobs = [rows[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True)]
+        numbers = part[order][cuts].tolist()
+        if len(links):
+            numbers.append(int(links[0, 0]) % parts)
+            blobs.append(links.tobytes())
+        signed = [n < len(cuts) for n in range(len(numbers))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int64()), pa.array(signed), pa.array(blobs, pa.binary())], names=["part", "signed", "rows"]
+        )
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        bands, sigs, ids, held = Bands(percent), [], [], 0
         for batch in batches:
-            sigs, ids = [], []
             for s in shingle_sets(batch.column(1), words):
-                if len(s):
-                    sigs.append(signatures(s, bands))
-                    ids.append(np.full(len(sigs[-1]), _set_id(s)[0], dtype=np.int64))
-            if not sum(map(len, sigs)):
-                continue
-            links, sig, least = _stars(np.concatenate(sigs), np.concatenate(ids))
-            part = (sig % A.U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            rows = np.stack([sig[order].view(np.int64), least[order]], axis=1)
-            cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
-            blobs = [rows[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True)]
-            numbers = part[order][cuts].tolist()
-            if len(links):
-                numbers.append(int(links[0, 0]) % parts)
-                blobs.append(np.concatenate([np.zeros((1, 2), np.int64), links]).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int64()), pa.array([n < len(cuts) for n in range(len(numbers))]), pa.array(blobs, pa.binary())],
-                names=["part", "signed", "rows"],
-            )
+                if not len(s) or not len(sig := signatures(s, bands)):
+                    continue
+                sigs.append(sig)
+                ids.append(np.full(len(sig), _set_id(s)[0], dtype=np.int64))
+                held += len(sig)
+                if held >= FLUSH:
+                    yield packed(sigs, ids)
+                    sigs, ids, held = [], [], 0
+        if held:
+            yield packed(sigs, ids)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, bool, bytes]]:
@@ -221,72 +252,93 @@ def candidate_links(docs: DataFrame, words: int, percent: int, id_col: str, text
     )
 
 
-def occurrence_search(
-    query: np.ndarray, index: dict[int, list[int]], sizes: list[int], skip, percent: int, upto: int
-) -> Iterator[int]:
-    """Numbers below ``upto`` of indexed sets that link with ``query`` (DivideSkip).
-
-    ``index`` has for each shingle the ascending numbers of its sets, which are
-    numbered by size. ``skip(number)`` is asked before a set is looked up.
+class Index:
+    """Inverted lists of a block: for each shingle of two sets or more the ascending numbers of its sets."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        """``sets`` in ascending order of size."""
+        self.sets, self.sizes = sets, [len(s) for s in sets]
+        every = np.concatenate(sets)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        numbers = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[order]
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        count = np.diff(np.append(first, len(every)))
+        self.shingles = every[first[count > 1]]
+        self.numbers = numbers[np.repeat(count > 1, count)]
+        self.first = np.concatenate([[0], np.cumsum(count[count > 1])])
+
+    def lists(self, query: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The shingles of a set that have an inverted list, from the shortest list on, and these lists."""
+        if not len(self.shingles):
+            return query[:0], []
+        at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
+        at = at[self.shingles[at] == query]
+        at = at[np.argsort(self.first[at + 1] - self.first[at], kind="stable")]
+        ends = zip(self.first[at].tolist(), self.first[at + 1].tolist(), strict=True)
+        return self.shingles[at], [self.numbers[a:b] for a, b in ends]
+
+    def looked_up(self, shingles: np.ndarray, number: int) -> int:
+        """In how many lists of the shingles a set occurs, by binary search for each of them."""
+        own = self.sets[number]
+        return int((own[np.minimum(np.searchsorted(own, shingles), len(own) - 1)] == shingles).sum())
+
+
+def occurrence_search(query: np.ndarray, index: Index, wanted: np.ndarray, percent: int) -> Iterator[int]:
+    """Numbers of the ``wanted`` (a mask of numbers up to the query's) indexed sets that link with ``query`` (DivideSkip).
+
+    ``wanted`` may change meanwhile: a set is looked at only if it is still wanted.
     """
     n = len(query)
     smallest = -(-percent * n // 100)
-    from_ = bisect_left(sizes, smallest, 0, upto)
-    lists = []
-    for s in query.tolist():
-        found = index.get(s)
-        if found and found[-1] >= from_ and found[0] < upto:
-            lists.append(found)
+    low = bisect_left(index.sizes, smallest, 0, len(wanted))
     least = required(n, smallest, percent)
-    if len(lists) < least:
+    shingles, lists = index.lists(query)
+    if low == len(wanted) or len(lists) < least:
         return
-    lists.sort(key=len)
-    longest = len(lists[-1])
-    n_long = min(least - 1, int(least / (MU * np.log2(longest) + 1)) if longest > 1 else least - 1)
-    short, long_ = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-    merged = heapq.merge(*(x[bisect_left(x, from_) : bisect_left(x, upto)] for x in short))
-    for number, hits in groupby(merged):
+    n_long = min(least - 1, int(least / (MU * np.log2(len(lists[-1])) + 1)))
+    n_short = len(lists) - n_long
+    short = []
+    for numbers in lists[:n_short]:
+        numbers = numbers[np.searchsorted(numbers, low) : np.searchsorted(numbers, len(wanted))]
+        numbers = numbers[wanted[numbers]]
+        if len(numbers):
+            short.append(numbers.tolist())
+    for number, hits in groupby(heapq.merge(*short)):
         count = sum(1 for _ in hits)
-        if count < least - n_long or skip(number):
+        if count < least - n_long or not wanted[number]:
             continue
-        need, left = required(n, sizes[number], percent), n_long
-        for x in reversed(long_):
-            if count >= need or count + left < need:
-                break
-            left -= 1
-            at = bisect_left(x, number)
-            count += at < len(x) and x[at] == number
-        if count >= need:
+        if count + index.looked_up(shingles[n_short:], number) >= required(n, index.sizes[number], percent):
             yield number
 
 
 def block_links(ids: list[int], sets: list[np.ndarray], asked: list[bool], percent: int) -> list[tuple[int, int]]:
     """Links that join all linked sets of a block; those not asked for are one component."""
     order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-    sizes = [len(sets[i]) for i in order]
-    index: dict[int, list[int]] = {}
-    for number, i in enumerate(order):
-        for s in sets[i].tolist():
-            index.setdefault(s, []).append(number)
-    forest, roots, rest = Forest(), 0, None  # roots: components of the sets up to the present one
-
-    def near(x: int, y: int) -> bool:
-        """Every list of x looked up for y alone."""
-        a, b = sets[order[x]], sets[order[y]]
-        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-        return int((b[at] == a).sum()) >= required(len(a), len(b), percent)
+    index = Index([sets[i] for i in order])
+    component = np.arange(len(order), dtype=np.int32)
+    links: list[tuple[int, int]] = []
+
+    def join(x: int, y: int) -> None:
+        a, b = component[x], component[y]
+        if a != b:
+            component[component == max(a, b)] = min(a, b)
+            links.append((ids[order[x]], ids[order[y]]))
 
+    rest = None
     for x, i in enumerate(order):
-        roots += 1
+        query = index.sets[x]
         if not asked[i]:
             rest = x if rest is None else rest
-            roots -= forest.join(rest, x)
-        if x and near(x, x - 1):
-            roots -= forest.join(x, x - 1)
-        if roots > 1:  # else all smaller sets are in its component
-            for y in occurrence_search(sets[i], index, sizes, lambda y, x=x: forest.root(x) == forest.root(y), percent, x):
-                roots -= forest.join(x, y)
-    return [(ids[order[a]], ids[order[b]]) for a, b in forest.links()]
+            join(x, rest)
+        if x and index.looked_up(query, x - 1) >= required(len(query), index.sizes[x - 1], percent):
+            join(x, x - 1)
+        wanted = component[:x] != component[x]
+        if wanted.any():
+            for y in occurrence_search(query, index, wanted, percent):
+                join(x, y)
+                np.not_equal(component[:x], component[x], out=wanted)
+    return links
 
 
 def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -315,7 +367,8 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text
                 [*batch.columns[:4], pa.array(sets, pa.binary())], names=["block", "part", "doc_id", "ask", "shingles"]
             )
 
-    texts = _texts(docs, id_col, text_col).join(wanted, "doc_id").select("block", "part", "doc_id", "ask", "text")
+    # Always a shuffle join: the plan, and what it writes, is alike at every size.
+    texts = _texts(docs, id_col, text_col).join(wanted.hint("merge"), "doc_id").select("block", "part", "doc_id", "ask", "text")
     return texts.mapInArrow(run, "block long, part int, doc_id long, ask boolean, shingles binary")
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 STEP = U64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 
 
