@@ -11,18 +11,22 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
    class sends a hash of every bucket's content, for its own band of sizes and, if it
    may be the larger of a pair, for the band below. Buckets that are empty prove
    nothing; the number of buckets allows for a few, and a class with more repeats the
-   round with another hash until it has few enough. As each bucket holds several
-   shingles, frequent shingles don't bring strangers together.
+   round with another hash until it has few enough.
    Equal bucket hashes give star links, thinned on the map side; their connected
    components are the blocks.
+   Most buckets hold several shingles, but some hold one or two, so a passage that many
+   documents share can bring strangers together. Linked pairs meet under every salt of
+   the hash: a block of more than ``BLOCK`` shingles is split into the components that
+   its members form under another salt, again and again while that makes it smaller.
 3. Within a block the sets meet once. Every class is a query against an inverted
    index of the block: with required overlap T, the L longest of its lists are set aside, the
    short lists are merged by a heap, and what occurs T - L times in them is looked up
    in the long lists by binary search (DivideSkip). Sets that are in the query's component
    already are taken out of the lists, as a link to them adds nothing.
-   A block of more than ``BLOCK`` shingles is split: its parts are searched with
-   some members shared, then every class outside of the block's largest component is searched
-   against all parts. So no task holds more than a part, and no pair is left out.
+   What is still larger than ``BLOCK`` is searched in parts with some members shared.
+   Then the classes outside of the block's largest component meet all others, in cells
+   of two parts of half of ``BLOCK`` each: a search holds about ``BLOCK`` shingles,
+   whatever the number of such classes, and no pair is left out.
 4. The components of the links found are the result.
 
 Words are maximal runs without the six blanks, A-Z in lower case. Fewer words than
@@ -54,6 +58,9 @@ PERCENT = 85
 BLOCK = 1_000_000
 FLUSH = 100_000  # signatures that a task gathers before it sends them
 PIVOTS = 64
+SALTS = 12  # how often a large block is split by another salt at most
+SHRINKS = 0.95  # a block that keeps more of its shingles is not split again
+SHINGLE_BYTES = 8  # of text, roughly
 PART_BYTES = 16 << 20
 BAND = 1.4  # ratio of the greatest to the least set size of a band
 LEAST_PERCENT = 75  # below it sets may differ in more shingles than buckets can be filled with
@@ -133,14 +140,14 @@ class Bands:
         return [f for f in found if f[1]]
 
 
-def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Hashes of the contents of the buckets of a set."""
+def signatures(shingles: np.ndarray, bands: Bands, turn: int = 0) -> np.ndarray:
+    """Hashes of the contents of the buckets of a set; another ``turn`` deals the shingles to other buckets."""
     out = []
     with np.errstate(over="ignore"):
         for band, buckets, spare in bands.rounds(len(shingles)):
             seed = 0
             while True:
-                salt = A.U64((band << 20 | seed) + 1) * A.STEP
+                salt = A.U64((turn << 40 | band << 20 | seed) + 1) * A.STEP
                 h = np.sort(A.mixed(shingles + salt))
                 bucket = ((h >> A.U64(32)) * A.U64(buckets)) >> A.U64(32)
                 first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -187,10 +194,28 @@ def _stars(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return links, sig[first], ids[first]
 
 
-def candidate_links(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) of set hashes that connect all sets with an equal bucket."""
+def candidate_links(
+    docs: DataFrame,
+    words: int,
+    percent: int,
+    id_col: str,
+    text_col: str,
+    turn: int = 0,
+    inside: DataFrame | None = None,
+    size: int | None = None,
+) -> DataFrame:
+    """Links (a, b) of set hashes that connect all sets with an equal bucket.
+
+    Only the documents of ``inside`` (doc_id, block) if given, and only within a block;
+    ``size`` is about the bytes of their texts.
+    """
     texts = _texts(docs, id_col, text_col).where("doc_id is not null")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size is None:
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if inside is None:
+        texts = texts.withColumn("block", F.lit(0).cast("long"))
+    else:
+        texts = texts.join(inside.hint("merge"), "doc_id").select("doc_id", "text", "block")
     parts = int(size // PART_BYTES) + 1
 
     def packed(sigs: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -212,10 +237,11 @@ def candidate_links(docs: DataFrame, words: int, percent: int, id_col: str, text
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, sigs, ids, held = Bands(percent), [], [], 0
         for batch in batches:
-            for s in shingle_sets(batch.column(1), words):
-                if not len(s) or not len(sig := signatures(s, bands)):
+            within = batch.column(2).to_numpy().view(A.U64)
+            for s, own in zip(shingle_sets(batch.column(1), words), within, strict=True):
+                if not len(s) or not len(sig := signatures(s, bands, turn)):
                     continue
-                sigs.append(sig)
+                sigs.append(A.mixed(sig ^ own))
                 ids.append(np.full(len(sig), _set_id(s)[0], dtype=np.int64))
                 held += len(sig)
                 if held >= FLUSH:
@@ -233,7 +259,7 @@ def candidate_links(docs: DataFrame, words: int, percent: int, id_col: str, text
             links, signed = [], []
             for _, kind, blob in group:
                 (signed if kind else links).append(np.frombuffer(blob, np.int64).reshape(-1, 2))
-            found = [x[1:] for x in links]
+            found = list(links)
             if signed:
                 both = np.concatenate(signed)
                 found.append(_stars(both[:, 0], both[:, 1])[0])
@@ -369,7 +395,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text
 
     # Always a shuffle join: the plan, and what it writes, is alike at every size.
     texts = _texts(docs, id_col, text_col).join(wanted.hint("merge"), "doc_id").select("block", "part", "doc_id", "ask", "text")
-    return texts.mapInArrow(run, "block long, part int, doc_id long, ask boolean, shingles binary")
+    return texts.mapInArrow(run, "block long, part long, doc_id long, ask boolean, shingles binary")
 
 
 def _found(with_sets: DataFrame, percent: int) -> DataFrame:
@@ -380,6 +406,37 @@ def _found(with_sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def blocks(
+    docs: DataFrame, classes: DataFrame, words: int, percent: int, block: int, id_col: str, text_col: str
+) -> DataFrame:
+    """(doc_id, block, n): the classes that may link with others; all that link are in one block."""
+
+    def members(of: DataFrame, links: DataFrame, parent) -> DataFrame:
+        found = of.join(components(links), F.col("s1") == F.col("id"))
+        columns = [F.col("doc_id"), F.col("s1"), F.col("component").alias("block"), F.col("n"), parent.alias("parent")]
+        return stage(found.select(*columns), "join-members")
+
+    first = classes.withColumnRenamed("main", "doc_id")
+    member = members(first, candidate_links(docs, words, percent, id_col, text_col), F.lit(None).cast("long"))
+    settled = []
+    for turn in range(1, SALTS + 1):
+        totals = member.groupBy("block").agg(F.sum("n").alias("total"), F.max("parent").alias("parent"))
+        shrinks = F.col("parent").isNull() | (F.col("total") <= SHRINKS * F.col("parent"))
+        large = stage(totals.where((F.col("total") > block) & shrinks).select("block", "total"), "join-large")
+        size = large.agg(F.sum("total")).first()[0]
+        if not size:
+            break
+        settled.append(member.join(large, "block", "left_anti").select("doc_id", "block", "n"))
+        inside = member.select("doc_id", "s1", "block", "n").join(large, "block")
+        links = candidate_links(
+            docs, words, percent, id_col, text_col, turn, inside.select("doc_id", "block"), size * SHINGLE_BYTES
+        )
+        member = members(inside.drop("block"), links, F.col("total"))
+    for part in settled:
+        member = member.select("doc_id", "block", "n").union(part)
+    return member.select("doc_id", "block", "n")
+
+
 def linked(
     docs: DataFrame,
     words: int = WORDS,
@@ -396,21 +453,15 @@ def linked(
         .agg(F.min("doc_id").alias("main"), F.first("n_shingles").alias("n")),
         "join-classes",
     )
-    blocks = components(candidate_links(docs, words, percent, id_col, text_col))
-    member = stage(
-        classes.join(blocks, F.col("s1") == F.col("id")).select(
-            F.col("main").alias("doc_id"), F.col("component").alias("block"), "n"
-        ),
-        "join-members",
-    )
+    member = blocks(docs, classes, words, percent, block, id_col, text_col)
     sizes = stage(
         member.groupBy("block")
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("members"))
-        .withColumn("parts", F.ceil(F.col("total") / F.lit(block)).cast("int")),
+        .withColumn("parts", F.ceil(F.col("total") / F.lit(block))),
         "join-blocks",
     )
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    own = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    own = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
     pivot = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.ceil(F.col("members") / F.lit(PIVOTS))) == 0
     placed = member.join(sizes, "block")
     wanted = stage(
@@ -422,7 +473,7 @@ def linked(
     links = stage(_found(_with_sets(docs, wanted, words, id_col, text_col), percent), "join-links")
     groups = components(links)
     if sizes.where("parts > 1").limit(1).count():
-        links = links.union(_across(docs, placed.where("parts > 1"), groups, words, percent, id_col, text_col))
+        links = links.union(_across(docs, placed.where("parts > 1"), groups, words, percent, block, id_col, text_col))
         groups = components(stage(links, "join-all-links"))
     groups = groups.withColumnRenamed("id", "main")
     by_class = classes.join(groups, "main", "left").select(
@@ -437,35 +488,45 @@ def linked(
     )
 
 
-def _across(
-    docs: DataFrame, placed: DataFrame, groups: DataFrame, words: int, percent: int, id_col: str, text_col: str
-) -> DataFrame:
-    """Links across the parts of split blocks.
+def cells(grouped: DataFrame, block: int) -> DataFrame:
+    """(doc_id, block, part, ask): the cells in which split blocks are searched across their parts.
 
-    Two sets that no link joins yet are in different components, so one of them is
-    outside of the block's largest; each such set asks every part.
+    ``grouped``: doc_id, block, n and the component so far. Two sets that no link joins
+    yet are in different components, so one of them is outside of the block's largest
+    and asks. The asking and the other sets of a block are dealt to parts of about half
+    of ``block`` shingles each; a cell is two asking parts, or an asking and another one.
     """
-    own = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
-    grouped = stage(
-        placed.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        ),
-        "join-split",
-    )
     largest = (
         grouped.groupBy("block", "component")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("block")
         .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("groups"))
     )
-    asking = F.col("component") != F.col("largest")
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    wanted = stage(
-        grouped.join(largest, "block")
-        .where("groups > 1")
-        .select("doc_id", "block", asking.alias("ask"), F.explode(F.when(asking, every).otherwise(F.array(own))).alias("part")),
-        "join-asking",
+    asking = grouped.join(largest, "block").where("groups > 1").withColumn("ask", F.col("component") != F.col("largest"))
+    halves = [F.ceil(2 * F.sum(F.when(c, F.col("n")).otherwise(0)) / F.lit(block)) for c in (F.col("ask"), ~F.col("ask"))]
+    parts = asking.groupBy("block").agg(halves[0].alias("askers"), halves[1].alias("others"))
+    zero = F.lit(0).cast("long")
+    own = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.when(F.col("ask"), F.col("askers")).otherwise(F.col("others")))
+    width = F.col("askers") + F.col("others")
+    asked = F.transform(
+        F.sequence(zero, width - 1), lambda other: F.least(F.col("own"), other) * width + F.greatest(F.col("own"), other)
+    )
+    met = F.transform(F.sequence(zero, F.col("askers") - 1), lambda other: other * width + F.col("askers") + F.col("own"))
+    dealt = asking.join(parts, "block").withColumn("own", own)
+    return dealt.select("doc_id", "block", F.explode(F.when(F.col("ask"), asked).otherwise(met)).alias("part"), "ask")
+
+
+def _across(
+    docs: DataFrame, placed: DataFrame, groups: DataFrame, words: int, percent: int, block: int, id_col: str, text_col: str
+) -> DataFrame:
+    """Links across the parts of split blocks."""
+    grouped = stage(
+        placed.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        ),
+        "join-split",
     )
+    wanted = stage(cells(grouped, block).select("doc_id", "block", "ask", "part"), "join-asking")
     return _found(_with_sets(docs, wanted, words, id_col, text_col), percent)
 
 

@@ -114,3 +114,45 @@ def test_word_hashes_follow_the_words():
     words = [data[a:b].tobytes().lower() for a, b in zip(starts, ends, strict=True)]
     assert words == [w for t in texts for w in (t or "").encode().lower().split()]
     assert len(set(hashes.tolist())) == len(set(words))
+
+
+def strangers(n, words, share):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(int(words * share))]
+    return [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(words - len(passage))])) for i in range(n)]
+
+
+def test_a_shared_passage_does_not_keep_strangers_in_a_block(spark):
+    rows = strangers(200, 200, 0.2)
+    rows += [(1000 + i, t.replace(" p7 ", " q ")) for i, t in rows[:12]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = ngram_join.set_ids(docs, 4, "doc_id", "text").selectExpr("s1", "s2", "doc_id main", "n_shingles n")
+    sizes = {}
+    for block in (10**9, 3000):
+        found = ngram_join.blocks(docs, classes, 4, 85, block, "doc_id", "text").collect()
+        of = {r.doc_id: r.block for r in found}
+        assert len(of) == len(found) and all(of[i] == of[1000 + i] for i in range(12))
+        sizes[block] = max(sum(r.n for r in found if r.block == b) for b in set(of.values()))
+    assert sizes[10**9] > 3000 >= sizes[3000]
+    assert run(spark, rows, block=3000) == brute(rows)
+
+
+def test_a_block_that_stays_large_is_searched_in_bounded_cells(spark):
+    rows = [(i, 1, 20, 0 if i % 3 == 0 else i) for i in range(300)] + [(900, 2, 20, 900), (901, 2, 20, 900)]
+    grouped = spark.createDataFrame(rows, "doc_id long, block long, n long, component long")
+    held = {}
+    for r in ngram_join.cells(grouped, 1000).collect():
+        assert r.block == 1 and r.ask == (r.doc_id % 3 != 0)
+        held.setdefault(r.part, []).append(r.doc_id)
+    assert max(20 * len(x) for x in held.values()) <= 1600  # parts are dealt by a hash
+    met = {(a, b) for x in held.values() for a in x for b in x}
+    assert all((a, b) in met for a in range(300) for b in range(300) if a % 3 or b % 3)
+
+
+def test_near_copies_meet_across_cells(spark):
+    rng, rows = random.Random(5), strangers(60, 60, 0.8)
+    for i, t in rows[:40]:
+        words = t.split()
+        words[rng.randrange(10, 60)] = "z"
+        rows.append((500 + i, " ".join(words)))
+    assert run(spark, rows, block=400, percent=80) == brute(rows, percent=80)
