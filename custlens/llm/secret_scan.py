@@ -3,11 +3,14 @@
 Three patterns give the base spans: assignments to a name such as ``password``,
 cloud access keys, and long hexadecimal strings. The method adds spans of kind
 ``random``: runs of key characters (letters, digits, ``+/_=-``) of ``MIN_RUN`` code
-points or more that mix letters and digits and that a byte-level vocabulary
-encodes badly, at fewer than ``MAX_CHARS_PER_TOKEN`` characters per token. Words
-of any language take few tokens; random strings take nearly one for two
-characters. Known digests (hexadecimal of a digest's length, with or without an
-algorithm's name), UUIDs, plain numbers, dates and paths of words are left out,
+points or more that a byte-level vocabulary encodes badly, at fewer than
+``MAX_CHARS_PER_TOKEN`` characters per token. Words of any language take few
+tokens; random strings take nearly one for two characters. In a run that looks like
+a path or a name of words and numbers, or that is encoded well as a whole, the token
+ratio decides for each part between separators, letters alone included; badly encoded
+neighbours and the short parts between them are joined to ``MIN_RUN`` code points.
+Known digests (hexadecimal of a digest's length, with or without an algorithm's
+name), UUIDs, plain numbers, dates and parts that are encoded well are left out,
 as are runs that a base span covers already.
 
 The work is a map over whole texts; nothing is shuffled. Null or empty text: no
@@ -53,6 +56,9 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HEX_ANY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_NAME = re.compile(r"(?i)(md5|sha-?1|sha-?224|sha-?256|sha-?384|sha-?512)[-_=]")
+PART = re.compile(r"[A-Za-z0-9]+")
+# Parts too short to tell: they join neighbours, but prove nothing themselves.
+SHORT = re.compile(r"(?=.{1,3}$)[A-Za-z]*[0-9]*|[0-9]{1,5}")
 # A name of words and numbers: parts of letters or of digits, joined by separators.
 IDENTIFIER = re.compile(r"[A-Za-z]+[0-9]{0,4}([+/_=-]+([A-Za-z]+[0-9]{0,4}|[0-9]{1,10}))*|[0-9+/_=-]+")
 
@@ -68,14 +74,39 @@ def vocabulary(path: str):
 
 
 def known(run: str) -> bool:
-    """True for digests, identifiers and plain numbers."""
+    """True for digests, UUIDs and plain numbers."""
     named = DIGEST_NAME.match(run)
     bare = run[named.end() :] if named else run
     return bool(
-        (HEX_ANY.fullmatch(bare) and len(bare) in DIGEST_LENGTHS) or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run)
+        (HEX_ANY.fullmatch(bare) and len(bare) in DIGEST_LENGTHS) or UUID.fullmatch(run) or not any(map(str.isalpha, run))
     )
 
 
+def inefficient(run: str, encoding) -> bool:
+    return len(run) < MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(run))
+
+
+def stretches(run: str, encoding) -> Iterator[tuple[int, int]]:
+    """(start, end) of the badly encoded stretches of a run."""
+    if known(run):
+        return
+    if any(map(str.isdigit, run)) and not IDENTIFIER.fullmatch(run) and inefficient(run, encoding):
+        yield 0, len(run)
+        return
+    start = end = None
+    bad = False
+    for m in [*PART.finditer(run), None]:
+        part = m.group() if m else ""
+        short = bool(SHORT.fullmatch(part))
+        worse = bool(part) and not short and not known(part) and inefficient(part, encoding)
+        if short or worse:
+            start, end, bad = m.start() if start is None else start, m.end(), bad or worse
+            continue
+        if bad and end - start >= MIN_RUN and inefficient(run[start:end], encoding):
+            yield start, end
+        start, bad = None, False
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The spans of the three patterns."""
     spans = []
@@ -93,13 +124,10 @@ def random_spans(text: str, taken: list[tuple[str, int, int]], encoding) -> list
     """Runs that the vocabulary encodes badly, outside the spans in ``taken``."""
     spans = []
     for m in RUN.finditer(text):
-        run, (start, end) = m.group(), m.span()
-        if run.isalpha() or known(run) or not any(map(str.isdigit, run)) or not any(map(str.isalpha, run)):
-            continue
+        start, end = m.span()
         if any(a < end and start < b for _, a, b in taken):
             continue
-        if len(run) < MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(run)):
-            spans.append(("random", start, end))
+        spans += [("random", start + a, start + b) for a, b in stretches(m.group(), encoding)]
     return spans
 
 

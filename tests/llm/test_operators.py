@@ -3,6 +3,7 @@ import hashlib
 import os
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -99,6 +100,25 @@ def test_secret_scan(spark):
     assert all("random" not in got[i].spans for i in range(at, len(texts)))
 
 
+def found_random(text):
+    encoding = secret_scan.vocabulary(os.path.join(secret_scan.TOKENIZER_DIR, secret_scan.VOCABULARY))
+    return [(a, b) for _, a, b in secret_scan.random_spans(text, secret_scan.base_spans(text), encoding)]
+
+
+def test_secrets_of_letters_and_in_names():
+    rng = random.Random(3)
+    letters = string.ascii_letters
+    for alphabet, least in ((letters, 100), (string.ascii_lowercase, 90)):
+        drawn = ["".join(rng.choices(alphabet, k=24)) for _ in range(100)]
+        assert sum(found_random(f"see {t}.") == [(4, 28)] for t in drawn) >= least
+    for _ in range(50):
+        secret = "".join(rng.choices(letters, k=24))
+        (a, b), = found_random(f"xoxb-1234567890-{secret} ")
+        assert a <= 16 and b == 40
+    plain = ["src/main/java/org/example/service/Handler", "internationalization_of_applications", "a/b/c/d/e/f/g/h/i/j/k/l", "2024-01-15/release-notes-v1-final", "-" * 30]
+    assert not any(map(found_random, plain))
+
+
 # --- 3 -----------------------------------------------------------------------
 
 
