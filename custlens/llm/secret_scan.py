@@ -9,9 +9,10 @@ tokens; random strings take nearly one for two characters. In a run that looks l
 a path or a name of words and numbers, or that is encoded well as a whole, the token
 ratio decides for each part between separators, letters alone included; badly encoded
 neighbours and the short parts between them are joined to ``MIN_RUN`` code points.
-Known digests (hexadecimal of a digest's length, with or without an algorithm's
+Of a long part that is encoded well, the stretches of ``MIN_RUN`` code points that
+are not are found by a sliding window, so words around a secret don't hide it. Known digests (hexadecimal of a digest's length, with or without an algorithm's
 name), UUIDs, plain numbers, dates and parts that are encoded well are left out,
-as are runs that a base span covers already.
+and base spans are cut out of a run: what they leave of it is judged for itself.
 
 The work is a map over whole texts; nothing is shuffled. Null or empty text: no
 spans. Repeated rows get equal results; extra columns are ignored.
@@ -53,7 +54,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
-UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+UUID_APART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 HEX_ANY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_NAME = re.compile(r"(?i)(md5|sha-?1|sha-?224|sha-?256|sha-?384|sha-?512)[-_=]")
 PART = re.compile(r"[A-Za-z0-9]+")
@@ -86,6 +88,26 @@ def inefficient(run: str, encoding) -> bool:
     return len(run) < MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(run))
 
 
+def windows(part: str, encoding) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of whole tokens of a part in which each ``MIN_RUN`` code points are badly encoded."""
+    cuts = [0]
+    for token in encoding.encode_ordinary(part):
+        cuts.append(cuts[-1] + len(encoding.decode_single_token_bytes(token)))
+    found: list[tuple[int, int]] = []
+    last = 0
+    for first, start in enumerate(cuts):
+        while last < len(cuts) and cuts[last] < start + MIN_RUN:
+            last += 1
+        if last == len(cuts):
+            break
+        if cuts[last] - start < MAX_CHARS_PER_TOKEN * (last - first):
+            if found and start <= found[-1][1]:
+                found[-1] = found[-1][0], cuts[last]
+            else:
+                found.append((start, cuts[last]))
+    return found
+
+
 def stretches(run: str, encoding) -> Iterator[tuple[int, int]]:
     """(start, end) of the badly encoded stretches of a run."""
     if known(run):
@@ -105,6 +127,8 @@ def stretches(run: str, encoding) -> Iterator[tuple[int, int]]:
         if bad and end - start >= MIN_RUN and inefficient(run[start:end], encoding):
             yield start, end
         start, bad = None, False
+        if len(part) >= MIN_RUN and not known(part):
+            yield from ((m.start() + a, m.start() + b) for a, b in windows(part, encoding))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -125,9 +149,16 @@ def random_spans(text: str, taken: list[tuple[str, int, int]], encoding) -> list
     spans = []
     for m in RUN.finditer(text):
         start, end = m.span()
-        if any(a < end and start < b for _, a, b in taken):
+        if known(m.group()):
             continue
-        spans += [("random", start + a, start + b) for a, b in stretches(m.group(), encoding)]
+        # What the base spans and UUIDs leave of the run.
+        cut = [(a, b) for _, a, b in taken if a < end and start < b]
+        cut += [u.span() for u in UUID_APART.finditer(text, start, end)]
+        low = start
+        for a, b in [*sorted(cut), (end, end)]:
+            if a - low >= MIN_RUN:
+                spans += [("random", low + x, low + y) for x, y in stretches(text[low:a], encoding)]
+            low = max(low, b)
     return spans
 
 
