@@ -531,12 +531,24 @@ def _across(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that have the least id of their component, one row for an id."""
-    found = linked(docs, id_col=id_col, text_col=text_col, **settings)
-    keep = fresh(docs, "kept_id")
-    ids = stage(
-        found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(keep)).agg(F.count(F.lit(1)).alias("n")),
-        "join-kept",
-    )
-    kept = docs.join(ids.select(keep), F.col(f"`{id_col}`").cast("long") == F.col(keep), "left_semi")
-    return kept.dropDuplicates([id_col]) if ids.where("n > 1").limit(1).count() else kept
+    """Of each group of rows with linked or equal sets the one with the least id, and every row with an empty set.
+
+    Sets decide, not ids: rows without an id take part as any other, after those with
+    one; rows that share an id but not their text are told apart. Of rows with the least
+    id the one with the least hash of its values stays.
+    """
+    row = fresh(docs, "row_id")
+    # A hash skips NULLs, so their places go in as well.
+    values = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    own = docs.withColumn(row, F.xxhash64(*values))
+    found = linked(own, id_col=row, text_col=text_col, **settings).groupBy(F.col("doc_id").alias(row))
+    found = found.agg(F.first("component_id").alias("component"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"))
+    ids = own.groupBy(row).agg(F.first(F.col(f"`{id_col}`").cast("long")).alias("id"))
+    rows = stage(found.join(ids, row), "join-rows")
+    least = rows.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", row, "copies")).alias("least"))
+    keep = stage(least.select(f"least.{row}", "least.copies"), "join-kept")
+    kept = own.join(keep.select(row), row, "left_semi")
+    if keep.where("copies > 1").limit(1).count():
+        kept = kept.dropDuplicates([row])
+    empty = own.join(rows.where("n = 0").select(row), row, "left_semi")
+    return kept.union(empty).select(*(F.col(f"`{c}`") for c in docs.columns))

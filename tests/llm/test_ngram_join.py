@@ -156,3 +156,13 @@ def test_near_copies_meet_across_cells(spark):
         words[rng.randrange(10, 60)] = "z"
         rows.append((500 + i, " ".join(words)))
     assert run(spark, rows, block=400, percent=80) == brute(rows, percent=80)
+
+
+def test_one_of_each_goes_by_sets_and_not_by_ids(spark):
+    rows = [(1, "a b c d e"), (None, "A b c d e"), (None, "f g h i"), (None, "j k l m"), (None, "J K L M"), (7, "n o p q"), (7, "r s t u"), (8, "R S T U"), (9, None), (None, ""), (7, "n o p q"), (6, " ")]
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
+    kept = [(r.doc_id, (r.text or "").lower()) for r in ngram_join.one_of_each(docs).collect()]
+    want = [(1, "a b c d e"), (None, "f g h i"), (None, "j k l m"), (7, "n o p q"), (7, "r s t u"), (9, ""), (None, ""), (6, " ")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    again = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs.repartition(5)).collect()]
+    assert sorted(again, key=repr) == sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()), key=repr)
