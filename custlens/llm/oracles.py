@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from custlens.llm import quality
+from custlens.llm import quality, vector_codes
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -94,4 +94,37 @@ SELECT *, NOT base_failed AND (n_words < {quality.MIN_WORDS} OR
        (class_distance <= {quality.MAX_CLASS_DISTANCE} AND word_distance <= {quality.MAX_WORD_DISTANCE})) AS kept
 FROM f"""
 
-ORACLE = {"op4_warc": OP4, "op6_ngram_join": OP6, "op9_quality_rules": OP9, "op10_fm_dedup": OP10}
+# The rounds of operator 13, written out one after another.
+_NEAREST = """p{r} AS MATERIALIZED (
+  SELECT vec_id, p, x, min([list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e]) AS best
+  FROM parts JOIN c{r} USING (p) GROUP BY vec_id, p, x)"""
+_MEANS = """m{r} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, CAST(floor(sum(v) / count(*)) AS BIGINT) AS m
+    FROM (SELECT p, best[2] AS e, unnest(x) AS v, unnest(generate_series(1, len(x))) AS i FROM p{r}) GROUP BY ALL) GROUP BY ALL),
+c{n} AS MATERIALIZED (SELECT p, e, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (p, e))"""
+_ROUNDS = ",\n".join(
+    _NEAREST.format(r=r) + ("" if r == vector_codes.ROUNDS else ",\n" + _MEANS.format(r=r, n=r + 1)) for r in range(vector_codes.ROUNDS + 1)
+)
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // {vector_codes.PARTS} + 1 : (p + 1) * len(v) // {vector_codes.PARTS}] AS x
+  FROM kept, range({vector_codes.PARTS}) t(p)),
+c0 AS MATERIALIZED (
+  SELECT p, e, x AS c FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts)
+  WHERE e < {vector_codes.ENTRIES}),
+{_ROUNDS},
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM c{vector_codes.ROUNDS}),
+coded AS (
+  SELECT vec_id, string_agg(lower(format('{{:02x}}', best[2])), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM p{vector_codes.ROUNDS} GROUP BY vec_id),
+by_label AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label)
+SELECT kept.vec_id, code, error, label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (vec_id) JOIN by_label ON kept.label IS NOT DISTINCT FROM by_label.label, books"""
+
+ORACLE = {"op4_warc": OP4, "op6_ngram_join": OP6, "op9_quality_rules": OP9, "op10_fm_dedup": OP10, "op13_vector_codes": OP13}

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.llm import (
+    alignment,
+    bpe,
     decontamination,
     fm_dedup,
     mixing,
@@ -19,6 +21,7 @@ from custlens.llm import (
     sharding,
     suffix_dedup,
     token_counts,
+    vector_codes,
     warc,
 )
 from custlens.llm.common import table
@@ -101,3 +104,18 @@ def op10_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
