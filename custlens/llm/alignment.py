@@ -8,6 +8,8 @@ overlaps expand to links: a token of A meets a run of neighbouring tokens of B.
 
 How often an id pair is linked is counted over the whole corpus:
 
+* Both tokenizers begin a token at a blank between two words, so a block's texts are
+  cut there, and each different part is encoded once.
 * A task takes its texts in blocks of bounded bytes. The block's different pairs are
   kept once, with the number of its documents that hold each; a document keeps places
   in that list and multiplicities. Both are staged once, so no text is encoded twice.
@@ -27,7 +29,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
+import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +49,12 @@ from custlens.llm.common import stage
 from custlens.llm.token_counts import byte_symbols
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLANK = "▁"
+KEEP, KEEP_CHARS, PARTS_AT_ONCE = 200_000, 48, 10_000
+
+# A single blank between letters, digits, marks of ASCII: both tokenizers begin a token there.
+BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 
 
 class Side:
@@ -56,16 +66,36 @@ class Side:
         names = [b"%d" % i for i in range(len(data))]
         # An id's decimal form with what follows it: nothing, then the three separators.
         self.written = pa.array([n + mark for n in names for mark in (b"", b",", b"|", b";")], pa.large_binary())
+        self.kept: dict[str, bytes] = {}
+        # No token goes on with a blank after another character: texts may be cut at such blanks.
+        self.cuts = all(b" " not in d.lstrip(b" ") for d in data)
 
     def lists(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's ids begin and the last ends."""
-        found = self.lists(texts)
-        starts = np.cumsum([0, *map(len, found)])
-        ids = np.concatenate([np.array(x, dtype=np.int64) for x in found] or [np.zeros(0, np.int64)])
-        return ids, starts
+    def coded(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts as 32-bit integers; those of short parts are kept for the next blocks."""
+        found = [self.kept.get(p) for p in parts]
+        new = [i for i, f in enumerate(found) if f is None]
+        if len(self.kept) + len(new) > KEEP:
+            self.kept.clear()
+        for at in range(0, len(new), PARTS_AT_ONCE):
+            some = new[at : at + PARTS_AT_ONCE]
+            for i, ids in zip(some, self.lists([parts[i] for i in some]), strict=True):
+                found[i] = array("i", ids).tobytes()
+                if len(parts[i]) <= KEEP_CHARS and len(self.kept) < KEEP:
+                    self.kept[parts[i]] = found[i]
+        return found
+
+    def encode(self, parts: list[str], index: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's ids begin and the last ends. Text
+        ``i`` is the parts ``index[starts[i]:starts[i + 1]]``."""
+        known = self.coded(parts)
+        size = np.array([len(k) // 4 for k in known], dtype=np.int64)
+        flat = np.frombuffer(b"".join(known), dtype=np.int32)
+        ends = np.concatenate(([0], np.cumsum(size[index]))).astype(np.int64)
+        at = np.repeat((np.cumsum(size) - size)[index] - ends[:-1], size[index]) + np.arange(ends[-1])
+        return flat[at].astype(np.int64), ends[starts]
 
     def joined(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         lists = pa.LargeListArray.from_arrays(pa.array(starts), self.bytes.take(pa.array(ids)))
@@ -107,7 +137,8 @@ class Pieces(Side):
 
 @functools.cache
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
-    """One pair of tokenizers for all tasks that a Python worker runs."""
+    """One pair of tokenizers for all tasks that a Python worker runs; a task has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return ByteLevel(path_a), Pieces(path_b)
 
 
@@ -118,7 +149,11 @@ class Aligned:
         self.sides = a, b
         asked = [i for i, t in enumerate(texts) if t]
         given = [texts[i] for i in asked]
-        coded = [(side, *side.encode(given)) for side in (a, b)]
+        split = [BETWEEN.split(t) if a.cuts and b.cuts else [t] for t in given]
+        starts = np.cumsum([0, *map(len, split)])
+        parts = pa.array(itertools.chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        different, index = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        coded = [(side, *side.encode(different, index, starts)) for side in (a, b)]
         whole = [b" " + t.encode() for t in given]
         same = np.ones(len(given), dtype=bool)
         for side, ids, starts in coded:
