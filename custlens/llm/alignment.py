@@ -51,7 +51,7 @@ from custlens.llm.token_counts import byte_symbols
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 2 << 20
 BLANK = "▁"
-KEEP, KEEP_CHARS, PARTS_AT_ONCE = 200_000, 48, 10_000
+KEEP, KEEP_CHARS, PARTS_AT_ONCE = 500_000, 48, 10_000
 
 # A single blank between letters, digits, marks of ASCII: both tokenizers begin a token there.
 BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
@@ -95,7 +95,7 @@ class Side:
         flat = np.frombuffer(b"".join(known), dtype=np.int32)
         ends = np.concatenate(([0], np.cumsum(size[index]))).astype(np.int64)
         at = np.repeat((np.cumsum(size) - size)[index] - ends[:-1], size[index]) + np.arange(ends[-1])
-        return flat[at].astype(np.int64), ends[starts]
+        return flat.astype(np.int64)[at], ends[starts]
 
     def joined(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         lists = pa.LargeListArray.from_arrays(pa.array(starts), self.bytes.take(pa.array(ids)))
@@ -168,6 +168,7 @@ class Aligned:
         self.a_end, self.b_end = np.cumsum(a.size[self.a]), np.cumsum(b.size[self.b])
         self.a_start, self.b_start = self.a_end - a.size[self.a], self.b_end - b.size[self.b]
 
+    # A token is 8 bytes in each of a dozen arrays: a block's size bounds them.
     @functools.cached_property
     def groups(self) -> tuple[np.ndarray, np.ndarray]:
         """The group of each token of A and of each token of B, from 0 on."""
@@ -203,7 +204,8 @@ class Aligned:
         """The block's different id pairs; and by text: where its pairs begin, their places
         in the block's list, and how often the text has each."""
         of_a, of_b = self.links
-        different, place = np.unique(self.a[of_a] << 32 | self.b[of_b], return_inverse=True)
+        coded = pa.array(self.a[of_a] << 32 | self.b[of_b]).dictionary_encode()
+        different, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         text = np.searchsorted(self.a_at, of_a, side="right") - 1
         key, times = np.unique(text * max(len(different), 1) + place, return_counts=True)
         text, place = np.divmod(key, max(len(different), 1))
