@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from custlens.functions.dates import hour_label, operational_day
 from custlens.functions.text import normalise_person_name
 from custlens.session import staged
+from custlens.operators.ranking import dense_ranks
 
 # Event types with a KPI meaning.
 LEAD, PURCHASE = "signup", "purchase"
@@ -148,3 +149,11 @@ def leaderboard(daily: DataFrame) -> DataFrame:
     w = Window.partitionBy("op_day").orderBy(F.desc("points"))
     ranks = daily.select("op_day", "points").distinct().withColumn("rank", F.dense_rank().over(w))
     return daily.join(ranks, ["op_day", "points"])
+
+
+def leaderboard_by_range(daily: DataFrame) -> DataFrame:
+    """W3 for days of any size: a day's different point values are dealt over ranges and ranked
+    by prefix counts (``dense_ranks``), where ``leaderboard`` ranks a day in one task."""
+    ranks = dense_ranks(daily, ["op_day"], "points").alias("r")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("op_day", "points")]
+    return daily.alias("d").join(ranks, same).select("d.*", "r.rank")

@@ -16,12 +16,14 @@ one partial row per (task, day) before the first shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.dates import elapsed_days, fill_missing_shipment, safe_timestamp
 from custlens.functions.numeric import clamp_zero
 from custlens.functions.text import canonical_name
+from custlens.operators.returns import FILTER_ABOVE, high_return_pairs, without_pairs
+from custlens.session import staged
 
 KEYS = ("customer_id", "product_name")
 
@@ -110,18 +112,16 @@ def day_rows(
     )
 
 
-def drop_high_return_days(days: DataFrame, min_rows: int = 3, max_return_pct: int = 50) -> DataFrame:
-    """C1 on level-1 rows: the pair totals are a window over the (customer,
-    raw product) partition of *aggregated* rows — a pair holding a third of
-    all sales is a handful of rows per shipment day by now — and whole pairs
-    are dropped with the same rule as ``exclude_high_return``. Pairs with a
-    NULL key always survive (Q6)."""
-    w = Window.partitionBy("customer_id", "product_name")
-    n, r = F.sum("_n").over(w), F.sum("_r").over(w)
-    keyed = F.col("customer_id").isNotNull() & F.col("product_name").isNotNull()
-    bad = keyed & (n > min_rows) & (r * 100 >= F.lit(max_return_pct) * n)
+def drop_high_return_days(
+    days: DataFrame, min_rows: int = 3, max_return_pct: int = 50, filter_above: int = FILTER_ABOVE
+) -> DataFrame:
+    """C1 on level-1 rows, by the operators that ``exclude_high_return`` uses: the bad pairs
+    are an aggregate of the counts, and whole pairs are dropped by an anti-join. Pairs with
+    a NULL key always survive (Q6). The level-1 rows are staged, so the sales are read once."""
+    days = staged(days, "sale-days")
+    bad = high_return_pairs(days, KEYS, F.col("_n"), F.col("_r"), min_rows=min_rows, max_return_pct=max_return_pct)
     # The return count has done its job; later levels never read it.
-    return days.withColumn("_bad", bad).filter(~F.col("_bad")).drop("_bad", "_r")
+    return without_pairs(days, bad, KEYS, filter_above).drop("_r")
 
 
 def summary_from_days(
@@ -129,11 +129,7 @@ def summary_from_days(
 ) -> DataFrame:
     """Levels 2 and 3: collapse the extra keys and raw names to (customer,
     canonical product, day), then to (customer, canonical product) with the
-    values at the latest day (``max_by``); NULL keys are dropped here.
-
-    Without canonical rules the canonical name is a plain alias of the raw
-    one, so the (customer, raw product) partitioning of the C1 window already
-    satisfies both aggregates and Spark adds no exchange for them."""
+    values at the latest day (``max_by``); NULL keys are dropped here."""
     packs = packs or []
     named = days.withColumn("given_product_name", canonical_name("product_name", canonical_rules or []))
     kept = named.filter(F.col("customer_id").isNotNull() & F.col("given_product_name").isNotNull())

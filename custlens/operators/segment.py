@@ -6,9 +6,8 @@
 * M2b — nearest centroid: the k centroids of each product travel as one array
   per product, and the choice is ``array_min`` over (distance, cluster)
   structs — one projection, no row explosion.
-* M2 — K-Means for all products at once: each round assigns every row (M2b) and
-  averages per (product, cluster), which combines map-side. The centres stay in
-  a staged table; one number, the largest shift, comes to the driver.
+* M2 — K-Means for all products at once, by several k-means|| starts and the
+  grid seeds, of which each product keeps the best (``kmeans``).
 * M3 — cluster names from the exact median frequency per (product, cluster).
 """
 
@@ -19,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custlens.operators import kmeans
+from custlens.operators.kmeans import NotConverged  # noqa: F401  raised by the fits below
 from custlens.session import staged
 
 FEATURES = ("recency", "frequency", "monetary")
@@ -31,10 +32,6 @@ CHAMPION_FREQUENCY = 5
 MAX_ROUNDS, TOLERANCE = 300, 1e-4
 
 
-class NotConverged(RuntimeError):
-    pass
-
-
 def _z(f: str) -> str:
     return f"z_{f}"
 
@@ -109,29 +106,34 @@ def kmeans_centroids(
     max_rounds: int = MAX_ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """M2: K-Means of every group in the same distributed rounds, from ``seeds``.
+    """K-Means of every group in the same distributed rounds, from given ``seeds``.
 
-    A cluster that lost all its points keeps its centre. The rounds end when in
-    no group the centres' squared shifts add up to more than ``tolerance``; if
-    that isn't reached in ``max_rounds`` the job fails.
+    Coordinates are whole millionths (see ``kmeans``). A cluster that lost all its points
+    keeps its centre. A group's rounds end when its centres' squared shifts add up
+    to no more than ``tolerance``; if that isn't reached in ``max_rounds`` the job fails.
     """
     zs = [_z(f) for f in features]
-    points = staged(scaled.select(group_col, *zs), "kmeans-points")
-    centres = staged(seeds.select(group_col, F.col("cluster").cast("int").alias("cluster"), *zs), "kmeans-centres")
-    for _ in range(max_rounds):
-        assigned = assign_nearest(points, centres, group_col, features)
-        means = assigned.groupBy(group_col, "cluster").agg(*[F.avg(z).alias(f"_new_{z}") for z in zs])
-        new = [F.coalesce(F.col(f"_new_{z}"), F.col(z)) for z in zs]
-        shift = reduce(lambda a, b: a + b, [(n - F.col(z)) * (n - F.col(z)) for n, z in zip(new, zs, strict=True)])
-        moved = centres.join(means, [group_col, "cluster"], "left").select(
-            group_col, "cluster", *[n.alias(z) for n, z in zip(new, zs, strict=True)], shift.alias("_shift")
-        )
-        moved = staged(moved, "kmeans-centres")
-        total = moved.groupBy(group_col).agg(F.sum("_shift").alias("s")).agg(F.max("s")).first()[0]
-        centres = moved.drop("_shift")
-        if total is None or total <= tolerance:
-            return centres
-    raise NotConverged(f"K-Means didn't settle in {max_rounds} rounds")
+    points = staged(kmeans.fixed_point(scaled, zs).select(group_col, *zs), "kmeans-points")
+    start = seeds.select(group_col, F.lit(0).alias("start"), F.col("cluster").cast("int").alias("cluster"), *zs)
+    centres = kmeans.lloyd(points, kmeans.fixed_point(start, zs), group_col, zs, max_rounds, tolerance)
+    return centres.select(group_col, "cluster", *[(F.col(z) / kmeans.UNIT).alias(z) for z in zs])
+
+
+def kmeans_fit(
+    scaled: DataFrame,
+    stats: DataFrame,
+    k: int,
+    key_cols: list[str] | None = None,
+    group_col: str = "product_name",
+    features=FEATURES,
+) -> tuple[DataFrame, DataFrame]:
+    """M2: ``scaled`` in whole millionths, and the centres of each group in the same unit: the best of several
+    k-means|| starts and of the grid seeds. ``key_cols`` tell the rows of a group apart."""
+    zs = [_z(f) for f in features]
+    fixed = kmeans.fixed_point(scaled, zs)
+    grid = kmeans.fixed_point(grid_centroids(stats, k, group_col, features), zs)
+    keys = [*(key_cols or ["customer_id"]), group_col]
+    return fixed, kmeans.fit(fixed, grid, k, keys, group_col, zs, MAX_ROUNDS, TOLERANCE)
 
 
 def cluster_medians(assigned: DataFrame, group_col: str = "product_name") -> DataFrame:
@@ -167,13 +169,14 @@ def hibernate(df: DataFrame) -> DataFrame:
 def segment(rfm: DataFrame, k: int = 5, method: str = "kmeans", group_col: str = "product_name") -> DataFrame:
     """M1 → centres → M2b → M3 on an RFM table.
 
-    ``method``: ``'kmeans'`` fits K-Means from the seeds (M2); ``'grid'`` takes
-    the deterministic seeds as they are (oracle-checkable)."""
+    ``method``: ``'kmeans'`` fits K-Means (M2); ``'grid'`` takes the deterministic
+    seeds as they are."""
     if method not in ("kmeans", "grid"):
         raise ValueError(f"unknown method {method}")
     stats = group_statistics(rfm, group_col)
     scaled = scale_features(rfm, group_col, stats=stats)
-    centres = grid_centroids(stats, k, group_col)
     if method == "kmeans":
-        centres = kmeans_centroids(scaled, centres, group_col)
+        scaled, centres = kmeans_fit(scaled, stats, k, group_col=group_col)
+    else:
+        centres = grid_centroids(stats, k, group_col)
     return name_clusters(assign_nearest(scaled, centres, group_col), group_col)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.text import prompt_text, strip_suffix_token, word_count
+from custlens.operators.ranking import first_rows
 from custlens.sources.tables import lower_case_columns
 
 # Fixed value: the default end-of-sequence marker appended to training rows.
@@ -144,7 +145,7 @@ def keyword_filter(
     if limit is not None:
         if not order_by:
             raise ValueError("a row cap needs a total order")
-        out = out.orderBy(*order_by).limit(limit)
+        out = first_rows(out, order_by, limit)
     return out
 
 

@@ -131,6 +131,33 @@ def q_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     return edge(kpi.leaderboard(_daily(spark, sf)).select("op_day", "staff_id", "points", "rank"))
 
 
+@query(
+    "leaderboard_by_range",
+    _sql(
+        "SELECT op_day, staff_id, points, CAST(dense_rank() OVER (PARTITION BY op_day ORDER BY points DESC) AS INTEGER) AS rank "
+        "FROM daily"
+    ),
+)
+def q_leaderboard_by_range(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 by range partitions and prefix counts, for days of any size."""
+    return edge(kpi.leaderboard_by_range(_daily(spark, sf)).select("op_day", "staff_id", "points", "rank"))
+
+
+@query(
+    "price_ranks",
+    """SELECT l_returnflag, l_extendedprice,
+       CAST(dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS INTEGER) AS rank
+FROM (SELECT DISTINCT l_returnflag, l_extendedprice FROM lineitem)""",
+)
+def q_price_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 over groups with very many different values: the dense rank of every price within its return flag."""
+    from custlens.operators.ranking import dense_ranks
+    from custlens.sources.tables import read_table
+
+    lines = read_table(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice"])
+    return dense_ranks(lines, ["l_returnflag"], "l_extendedprice")
+
+
 @query(
     "event_quality",
     fx.with_fixtures(

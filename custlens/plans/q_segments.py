@@ -248,7 +248,9 @@ scaled AS (
          CASE WHEN s_r IS NULL OR s_r = 0 THEN 0.0 ELSE (recency - m_r) / s_r END AS z_recency,
          CASE WHEN s_f IS NULL OR s_f = 0 THEN 0.0 ELSE (frequency - m_f) / s_f END AS z_frequency,
          CASE WHEN s_m IS NULL OR s_m = 0 THEN 0.0 ELSE (monetary - m_m) / s_m END AS z_monetary
-  FROM scored s LEFT JOIN stats st ON s.product_name = st.product_name),
+  FROM scored s LEFT JOIN stats st ON s.product_name = st.product_name)"""
+
+_CENTS_SQL = """
 bounds AS (
   SELECT product_name,
          min(z_recency) AS lo_r, max(z_recency) AS hi_r,
@@ -260,13 +262,17 @@ cents AS (
          lo_r + ((j + 0.5::DOUBLE) / 5) * (hi_r - lo_r) AS c_r,
          lo_f + ((j + 0.5::DOUBLE) / 5) * (hi_f - lo_f) AS c_f,
          lo_m + ((j + 0.5::DOUBLE) / 5) * (hi_m - lo_m) AS c_m
-  FROM bounds, (SELECT CAST(range AS INTEGER) AS j FROM range(5))),
+  FROM bounds, (SELECT CAST(range AS INTEGER) AS j FROM range(5)))"""
+
+_GRID_SQL = """
 assigned AS (
   SELECT s.customer_id, s.product_name,
-         arg_min(c.cluster, {{'d': (c_r - z_recency) * (c_r - z_recency) + (c_f - z_frequency) * (c_f - z_frequency)
-                                  + (c_m - z_monetary) * (c_m - z_monetary), 'c': c.cluster}}) AS cluster
+         arg_min(c.cluster, {'d': (c_r - z_recency) * (c_r - z_recency) + (c_f - z_frequency) * (c_f - z_frequency)
+                                  + (c_m - z_monetary) * (c_m - z_monetary), 'c': c.cluster}) AS cluster
   FROM scaled s JOIN cents c ON s.product_name = c.product_name
-  GROUP BY s.customer_id, s.product_name),
+  GROUP BY s.customer_id, s.product_name)"""
+
+_NAMED_SQL = """
 seg AS (
   SELECT s.*, a.cluster FROM scaled s JOIN assigned a
   ON s.customer_id = a.customer_id AND s.product_name = a.product_name),
@@ -283,8 +289,101 @@ named AS (
 _SEG_FIXTURES = ("unit_days", "pack_days")
 
 
-def _seg_chain_sql(body: str) -> str:
-    return _seg_sql(",\n" + _with(_KEPT_SQL, _PREP_SQL, _SCORED_SQL) + "\n" + body, *_SEG_FIXTURES)
+def _seg_chain_sql(body: str, assigned: str = _GRID_SQL) -> str:
+    """``assigned`` is the SQL of the rows' clusters, by the grid seeds or by K-Means."""
+    chain = _with(_KEPT_SQL, _PREP_SQL, _SCORED_SQL, _CENTS_SQL, assigned, _NAMED_SQL)
+    return _seg_sql(",\n" + chain + "\n" + body, *_SEG_FIXTURES).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# --- K-Means, written out: k-means|| seeds, the draws, Lloyd rounds, the best start ---
+
+_U = "((CAST('0x' || substr(md5(concat_ws('|', 'custlens', {start}, '{step}', {key})), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656)"
+_XYW_D2 = "(({a}.x - {b}.x) * ({a}.x - {b}.x) + ({a}.y - {b}.y) * ({a}.y - {b}.y) + ({a}.w - {b}.w) * ({a}.w - {b}.w))"
+_D2 = _XYW_D2.format(a="c", b="p")
+
+
+def _fixed(x: str) -> str:
+    return f"floor({x} * 1000000 + 0.5::DOUBLE)"
+
+
+def _kmeans_sql(k: int = 5, rounds: int = 3, starts: int = 3) -> str:
+    ctes = [
+        f"""
+pts AS MATERIALIZED (
+  SELECT product_name, customer_id, concat_ws('|', customer_id, product_name) AS key,
+         {_fixed("z_recency")} AS x, {_fixed("z_frequency")} AS y, {_fixed("z_monetary")} AS w FROM scaled),
+cand0 AS MATERIALIZED (
+  SELECT product_name, s AS start, 0 AS step, unnest(arg_min({{'key': key, 'x': x, 'y': y, 'w': w}},
+         {{'u': {_U.format(start="s", step="first", key="key")}, 'key': key}}))
+  FROM pts, (SELECT CAST(range AS INTEGER) AS s FROM range({starts})) GROUP BY product_name, s)"""
+    ]
+    for r in range(1, rounds + 1):
+        ctes.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT p.product_name, c.start, p.key, p.x, p.y, p.w, min({_D2}) AS d2
+  FROM pts p JOIN cand{r - 1} c USING (product_name) GROUP BY ALL),
+cost{r} AS (SELECT product_name, start, CAST(sum(CAST(floor(d2 / 1000000) AS BIGINT)) AS DOUBLE) AS cost FROM near{r} GROUP BY ALL),
+cand{r} AS MATERIALIZED (
+  SELECT product_name, start, step, key, x, y, w FROM cand{r - 1} UNION ALL
+  SELECT n.product_name, n.start, {r}, n.key, n.x, n.y, n.w FROM near{r} n JOIN cost{r} USING (product_name, start)
+  WHERE {_U.format(start="n.start", step=r, key="n.key")} * cost < {2 * k} * floor(d2 / 1000000))""")
+    ctes.append(f"""
+listed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY product_name, start ORDER BY step, key, x, y, w) - 1 AS n FROM cand{rounds}),
+own AS (
+  SELECT product_name, start, n, count(*) AS weight FROM (
+    SELECT p.product_name, c.start, p.key, arg_min(c.n, {{'d2': {_D2}, 'n': c.n}}) AS n
+    FROM pts p JOIN listed c USING (product_name) GROUP BY ALL) GROUP BY ALL),
+weighted AS MATERIALIZED (
+  SELECT l.*, coalesce(o.weight, 0) AS weight FROM listed l LEFT JOIN own o USING (product_name, start, n)),
+drawn1 AS MATERIALIZED (
+  SELECT product_name, start, 0 AS cluster, unnest(arg_min({{'x': x, 'y': y, 'w': w}},
+         {{'at': -ln({_U.format(start="start", step="pick1", key="key")}) / weight, 'n': n}}))
+  FROM weighted WHERE weight > 0 GROUP BY product_name, start)""")
+    for j in range(2, k + 1):
+        ctes.append(f"""
+drawn{j} AS MATERIALIZED (
+  SELECT * FROM drawn{j - 1} UNION ALL
+  SELECT product_name, start, {j - 1}, unnest(arg_min({{'x': x, 'y': y, 'w': w}},
+         {{'at': -ln({_U.format(start="start", step=f"pick{j}", key="key")}) / rate, 'n': n}}))
+  FROM (SELECT p.product_name, p.start, p.n, p.key, p.x, p.y, p.w, p.weight * min({_D2}) AS rate
+        FROM weighted p JOIN drawn{j - 1} c USING (product_name, start) GROUP BY p.product_name, p.start, p.n, p.key, p.x, p.y, p.w, p.weight)
+  WHERE rate > 0 GROUP BY product_name, start)""")
+    moved = _XYW_D2.format(a="m", b="l")
+    ctes.append(f"""
+seeds AS (
+  SELECT product_name, start, cluster, x, y, w FROM drawn{k} UNION ALL
+  SELECT product_name, {starts}, cluster, {_fixed("c_r")}, {_fixed("c_f")}, {_fixed("c_m")} FROM cents),
+lloyd AS (
+  SELECT product_name, start, cluster, x, y, w, true AS moving FROM seeds
+  UNION ALL
+  SELECT product_name, start, cluster, x, y, w, sum(shift) OVER (PARTITION BY product_name, start) > 100000000
+  FROM (
+    SELECT l.product_name, l.start, l.cluster, coalesce(m.x, l.x) AS x, coalesce(m.y, l.y) AS y, coalesce(m.w, l.w) AS w,
+           coalesce({moved}, 0) AS shift
+    FROM lloyd l LEFT JOIN (
+      SELECT product_name, start, cluster, floor(sum(x) / count(*) + 0.5::DOUBLE) AS x,
+             floor(sum(y) / count(*) + 0.5::DOUBLE) AS y, floor(sum(w) / count(*) + 0.5::DOUBLE) AS w
+      FROM (SELECT p.product_name, c.start, p.key, p.x, p.y, p.w, arg_min(c.cluster, {{'d2': {_D2}, 'c': c.cluster}}) AS cluster
+            FROM pts p JOIN lloyd c ON p.product_name = c.product_name WHERE c.moving
+            GROUP BY p.product_name, c.start, p.key, p.x, p.y, p.w)
+      GROUP BY product_name, start, cluster) m
+    ON m.product_name = l.product_name AND m.start = l.start AND m.cluster = l.cluster
+    WHERE l.moving)),
+settled AS MATERIALIZED (SELECT product_name, start, cluster, x, y, w FROM lloyd WHERE NOT moving),
+best AS (
+  SELECT product_name, arg_min(start, {{'cost': cost, 'start': start}}) AS start FROM (
+    SELECT product_name, start, CAST(sum(CAST(floor(d2 / 1000000) AS BIGINT)) AS DOUBLE) AS cost FROM (
+      SELECT p.product_name, c.start, p.key, min({_D2}) AS d2 FROM pts p JOIN settled c USING (product_name) GROUP BY ALL)
+    GROUP BY ALL) GROUP BY product_name),
+centres AS MATERIALIZED (SELECT c.* FROM settled c JOIN best USING (product_name, start)),
+assigned AS (
+  SELECT p.customer_id, p.product_name, arg_min(c.cluster, {{'d2': {_D2}, 'c': c.cluster}}) AS cluster
+  FROM pts p JOIN centres c USING (product_name) GROUP BY p.customer_id, p.product_name)""")
+    return _with(*ctes)
+
+
+_KMEANS_SQL = _kmeans_sql()
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -364,10 +463,12 @@ def q_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("kmeans_segments")
+@query(
+    "kmeans_segments",
+    _seg_chain_sql("SELECT customer_id, product_name, cluster_id, segment_name AS cluster, funnel FROM named", _KMEANS_SQL),
+)
 def q_kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """K-Means (k = 5) per product, named by median frequency.
-    Cluster ids are no feature of the data; ``kmeans_check`` has an oracle."""
+    """K-Means (k = 5) per product by k-means|| starts, named by median frequency."""
     from custlens.operators.segment import segment
 
     seg = segment(_scored(spark, sf), k=5)
@@ -377,42 +478,41 @@ def q_kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "kmeans_check",
     _seg_chain_sql(
-        "SELECT product_name, count(*) AS rows_in, count(*) AS rows_assigned, 0::BIGINT AS misplaced, "
-        "true AS at_most_k, true AS not_worse_than_seeds, true AS settled FROM scored GROUP BY product_name"
+        f"""
+SELECT p.product_name, count(*) AS rows_in, count(*) AS rows_assigned, 0::BIGINT AS misplaced,
+       true AS not_worse_than_grid FROM pts p GROUP BY p.product_name""",
+        _KMEANS_SQL,
     ),
 )
 def q_kmeans_check(spark: SparkSession, sf: str) -> DataFrame:
-    """M2 checked by what K-Means promises, per product: every row is assigned
-    and to its nearest centre, there are at most k clusters, the squared
-    distances add up to no more than around the seeds, and the centres are (up to the
-    tolerance) the means of their rows."""
-    from custlens.operators.segment import FEATURES, TOLERANCE, assign_nearest, kmeans_centroids
+    """M2 checked by what K-Means promises, per product: every row is assigned, none of
+    all the product's centres is nearer than its own, and the squared distances add up to no more
+    than around the grid seeds."""
+    from custlens.operators.kmeans import fixed_point
+    from custlens.operators.segment import FEATURES, assign_nearest, grid_centroids, group_statistics, kmeans_fit, scale_features
     from custlens.session import staged
 
-    z, seeds = _grid(_scored(spark, sf))
-    centres = kmeans_centroids(z, seeds)
-    assigned = staged(assign_nearest(z, centres), "kmeans-assigned")
+    scored = _scored(spark, sf)
+    stats = group_statistics(scored)
+    fixed, centres = kmeans_fit(scale_features(scored, stats=stats), stats, 5)
     zs = [f"z_{f}" for f in FEATURES]
-    own = centres.select("product_name", "cluster", *[F.col(c).alias(f"c_{c}") for c in zs])
-    far = sum(((F.col(c) - F.col(f"c_{c}")) * (F.col(c) - F.col(f"c_{c}")) for c in zs), F.lit(0.0))
-    each = assigned.join(own, ["product_name", "cluster"], "left").groupBy("product_name").agg(
-        F.count("cluster").alias("rows_assigned"),
-        F.count_if(far > F.col("distance") + 1e-9).alias("misplaced"),
-        (F.count_distinct("cluster") <= 5).alias("at_most_k"),
-        F.sum("distance").alias("within"),
+    assigned = staged(assign_nearest(fixed, centres), "kmeans-assigned")
+    # Each row against each of its product's centres, not only the chosen one.
+    all_centres = centres.select("product_name", F.col("cluster").alias("other"), *[F.col(c).alias(f"c_{c}") for c in zs])
+    d2 = sum(((F.col(c) - F.col(f"c_{c}")) * (F.col(c) - F.col(f"c_{c}")) for c in zs), F.lit(0.0))
+    each = assigned.join(all_centres, "product_name").groupBy("product_name", "customer_id").agg(
+        F.min(d2).alias("least"), F.min(F.when(F.col("other") == F.col("cluster"), d2)).alias("own")
     )
-    means = assigned.groupBy("product_name", "cluster").agg(*[F.avg(c).alias(c) for c in zs]).join(own, ["product_name", "cluster"])
-    settled = means.groupBy("product_name").agg((F.sum(far) <= TOLERANCE).alias("settled"))
-    start = assign_nearest(z, seeds).groupBy("product_name").agg(
-        F.count(F.lit(1)).alias("rows_in"), F.sum("distance").alias("around_seeds")
+    checked = each.groupBy("product_name").agg(
+        F.count("own").alias("rows_assigned"), F.count_if(F.col("own") > F.col("least")).alias("misplaced"), F.sum("own").alias("within")
     )
-    return each.join(start, "product_name").join(settled, "product_name").select(
-        "product_name", "rows_in", "rows_assigned", "misplaced", "at_most_k",
-        (F.col("within") <= F.col("around_seeds") + 1e-9).alias("not_worse_than_seeds"), "settled",
-    )
+    around_seeds = assign_nearest(fixed, fixed_point(grid_centroids(stats, 5), zs))
+    grid = around_seeds.groupBy("product_name").agg(F.count(F.lit(1)).alias("rows_in"), F.sum("distance").alias("around_grid"))
+    not_worse = (F.col("within") <= F.col("around_grid")).alias("not_worse_than_grid")
+    return checked.join(grid, "product_name").select("product_name", "rows_in", "rows_assigned", "misplaced", not_worse)
 
 
-@query("customer_segments_kmeans")
+@query("customer_segments_kmeans", _seg_chain_sql(_C8_SQL, _KMEANS_SQL))
 def q_customer_segments_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     """C8 with K-Means segments, the default method."""
     from custlens.plans.segments import customer_segments

@@ -219,3 +219,53 @@ def q_train_split(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, f"published-{uuid.uuid4().hex}")
     publish(with_prompt_text(fx.instructions(spark, sf)).select("doc_id", "text"), path, split="train")
     return load_split(spark, path, "train", schema="doc_id bigint, text string")
+
+
+# The search's row cap; it exceeds what one task merges.
+ROW_CAP = 20_000
+
+
+@query(
+    "row_cap",
+    f"""SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice, l_orderkey, l_linenumber LIMIT {ROW_CAP}""",
+)
+def q_row_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """O3: a large row cap after a total order, without a task that holds all kept rows."""
+    from custlens.operators.ranking import first_rows
+
+    lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    return first_rows(lines, ["l_extendedprice", "l_orderkey", "l_linenumber"], ROW_CAP)
+
+
+@query(
+    "published_version",
+    "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority",
+)
+def q_published_version(spark: SparkSession, sf: str) -> DataFrame:
+    """A table is published, then replaced by its next version; readers get the newest."""
+    import uuid
+
+    from custlens.session import scratch_path
+    from custlens.sources.versions import publish_version, read_version
+
+    path = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    orders = read_table(spark, sf, "orders", ["o_orderpriority", "o_totalprice"])
+    totals = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    publish_version(totals.limit(0), path)
+    publish_version(totals, path)
+    return read_version(spark, path)
+
+
+@query("documents_csv", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
+def q_documents_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts, line breaks and quotes included, written as CSV and read back from split files."""
+    import uuid
+
+    from custlens.session import scratch_path
+    from custlens.sources.files import read_csv_folder
+
+    path = scratch_path(spark, f"documents-csv-{uuid.uuid4().hex}")
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return read_csv_folder(spark, path, ["doc_id"], "doc_id")

@@ -38,6 +38,7 @@ def load_all() -> None:
         q_cohort,
         q_kpi,
         q_quality,
+        q_quantiles,
         q_segments,
         q_text,
     )

@@ -2,8 +2,8 @@
 
 One lineage from the sales rows to the 9-column result:
 
-    sales ─ C1 (anti-join of high-return pairs)
-          ─ F3/F4/F13 (prepare)
+    sales ─ F3/F4/F13 (prepare)
+          ─ level-1 aggregate, C1 on it (anti-join of high-return pairs)
           ─ two-level aggregate per (customer, product[, day])   ← RFM + funnel inputs
           ─ funnel (two-pack table where configured, else one pack)
           ─ M1 → centroids → M2b → M3 (segment names)
@@ -91,7 +91,7 @@ def scored_pairs(
     extra_keys: tuple[str, ...] = (),
     packs: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scored pairs and the kept level-1 rows, lazily (no materialisation)."""
+    """Scored pairs and the kept level-1 rows."""
     days = kept_days(sales, pack_days, extra_keys, packs)
     return scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs), days
 
@@ -120,12 +120,11 @@ def customer_segments(
 ) -> DataFrame:
     """C8 end to end from raw sales; ``method='kmeans'`` fits K-Means per product
     (M2), ``'grid'`` assigns to deterministic seeds (M2b)."""
+    # The level-1 rows and the scored pairs feed several branches (statistics, assignment,
+    # cluster medians, the output and the two lookups). Staged once, one scan of
+    # the sales is enough, a lost executor re-reads files, and the planner
+    # knows their sizes.
     days = kept_days(sales, pack_days, ("province_id", "product_id"), packs)
-    # Both tables feed several branches (statistics, assignment, cluster
-    # medians, the output and the two lookups). Staged once, one scan of the
-    # sales is enough, a lost executor re-reads files, and the planner knows
-    # their sizes.
-    days = staged(days, "segment-days")
     scored = staged(scored_from_days(days, as_of, unit_days, pack_days, canonical_rules, packs), "segment-scored")
     seg = segment(scored, k=k, method=method)
     seg = seg.withColumn("repeat_order", repeat_order_score("frequency"))

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from custlens.operators import returns, rfm
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,20 +19,42 @@ def _scans(plan: str) -> Counter:
     return Counter(re.findall(r"FileScan parquet [^\n]*?/(\w+)\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", ["rfm", "repeat_order", "last_quantity", "funnel_two_pack", "cohort_revenue"])
-def test_single_scan_of_the_fact_table(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
-    assert _scans(plan)["lineitem"] == 1
+@pytest.fixture()
+def staged_plans(monkeypatch):
+    """The plans of all tables that the RFM operators stage, by name."""
+    plans, stage = [], rfm.staged
 
+    def noted(df, name):
+        plans.append((name, _plan(df)))
+        return stage(df, name)
 
-def test_rfm_has_two_exchanges_and_hash_aggregates_only(spark):
-    plan = _plan(entry.queries()["rfm"](spark, SF))
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
-    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    for module in (rfm, returns):
+        monkeypatch.setattr(module, "staged", noted)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["rfm", "repeat_order", "last_quantity", "funnel_two_pack", "cohort_revenue"])
+def test_single_scan_of_the_fact_table(spark, staged_plans, name):
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert sum(_scans(p)["lineitem"] for p in [plan, *[p for _, p in staged_plans]]) == 1
 
 
-def test_scan_is_pruned_and_filters_pushed(spark):
+def test_rfm_shuffles_aggregates_only(spark, staged_plans):
+    """Level 1 is one exchange of the sales; the return rule sums its rows and moves none of
+    them; the two levels after it are one exchange each."""
     plan = _plan(entry.queries()["rfm"](spark, SF))
+    staged = dict(staged_plans)
+    assert staged.keys() == {"sale-days", "dropped-pairs"}
+    for p in (plan, *staged.values()):
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "Window" not in p
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2 and "SortMergeJoin" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning", staged["sale-days"])) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", staged["dropped-pairs"])) == 1
+
+
+def test_scan_is_pruned_and_filters_pushed(spark, staged_plans):
+    entry.queries()["rfm"](spark, SF)
+    plan = dict(staged_plans)["sale-days"]
     li = re.search(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem\.parquet[^\n]*", plan)
     assert li is not None
     cols = li.group(1).split(",")
