@@ -27,7 +27,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables of ``stage`` whose last reader has written its own result."""
+    for t in tables:
+        spark = t.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.common import stage
+from custlens.llm.common import stage, unstage
 
 BUFFER = 200_000
 
@@ -59,30 +59,37 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(forest.links())
 
 
+def _are_stars(pairs: DataFrame) -> bool:
+    """No id has two smaller neighbours, or both a smaller and a greater one."""
+    ends = pairs.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        pairs.select("v", F.lit(0), F.lit(1))
+    )
+    per_id = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not per_id.where("up > 1 or (up = 1 and down = 1)").limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id of ``links`` (a, b; longs): the least id it reaches.
 
     Each round joins every id's greater neighbours, then its smaller ones, to the
-    least id around it, until only stars are left. A round is a few aggregates and
-    joins over the links; no group of links meets in one task.
+    least id around it, until only stars are left. A round is aggregates, which combine
+    before the shuffle, and joins over the links: a hub's neighbours never meet in one
+    group, and its joins are broadcast or split. Rows of a round: the links at most, and one an id.
     """
     thin = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_thinned, "a long, b long")
-    pairs = stage(thin.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links")
-    known = None
-    while True:
-        # The greater neighbours of u go to the least id around u. A hub may have any
-        # number of them: the least is an aggregate, and the join can be split.
-        both = pairs.union(pairs.select("v", "u"))
-        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    pairs = stage(thin.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not _are_stars(pairs):
+        # The greater neighbours u of v go to the least id around v.
+        below = pairs.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("least"))
+        least = stage(below, "links-least")
+        large = pairs.join(least, "v", "left").select("u", F.coalesce("least", "v").alias("v"))
+        large = stage(large.distinct(), "links-large")
         # u and its neighbours, all smaller now, go to the least of them.
-        small = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-        small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        pairs = stage(small.where("u <> v").distinct(), "links-round")
-        state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if state == known:
-            break
-        known = state
+        own = stage(large.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")), "links-own")
+        others = large.join(own.where("m <> most").select("u", "m"), "u").where("v <> m").select("v", "m")
+        done = pairs
+        pairs = stage(own.select("u", F.col("m").alias("v")).union(others).distinct(), "links-round")
+        unstage(done, least, large, own)
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )

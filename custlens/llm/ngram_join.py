@@ -7,16 +7,19 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
    id stands for it.
 2. Sets that may link come together by the pigeonhole principle. If the smaller of
    two linked sets has at most H shingles, they differ in d(H) shingles at most, so
-   of more than d(H) buckets of a hash one at least holds the same shingles in both. Each
-   class sends a hash of every bucket's content, for its own band of sizes and, if it
-   may be the larger of a pair, for the band below. Buckets that are empty prove
-   nothing; the number of buckets allows for a few, and a class with more repeats the
-   round with another hash until it has few enough.
+   of B buckets of a hash B - d(H) at least hold the same shingles in both. Each
+   class sends a hash of a bucket's content, for its own band of sizes and, if it
+   may be the larger of a pair, for the band below. Buckets that strangers may share
+   are weak: empty ones, ones with a single shingle (where the threshold lets sets have
+   enough fuller ones) and ones with heavy shingles only. What is heavy a table of ``SLOTS``
+   counters tells, added up over all documents; a shingle that shares its slot costs
+   speed only. A class with fewer than B - d(H) weak buckets sends the others alone, as one of
+   these is shared with each linked set; else it sends all but the empty ones, and if too
+   many are empty it repeats the round with another hash.
    Equal bucket hashes give star links, thinned on the map side; their connected
    components are the blocks.
-   Most buckets hold several shingles, but some hold one or two, so a passage that many
-   documents share can bring strangers together. Linked pairs meet under every salt of
-   the hash: a block of more than ``BLOCK`` shingles is split into the components that
+   Linked pairs meet under every salt of the hash: should shared passages still chain
+   strangers to a block of more than ``BLOCK`` shingles, it is split into the components that
    its members form under another salt, again and again while that makes it smaller.
 3. Within a block the sets meet once. Every class is a query against an inverted
    index of the block: with required overlap T, the L longest of its lists are set aside, the
@@ -40,29 +43,34 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens.llm import text_arrays as A
-from custlens.llm.common import fresh, stage
-from custlens.llm.graph import Forest, components
+from custlens.llm.common import fresh, stage, unstage
+from custlens.llm.graph import components
 
 WORDS = 4
 PERCENT = 85
 BLOCK = 1_000_000
+SLOTS = 1 << 20  # counters of shingles, 4 MB in all
+SLICE = 1 << 12  # counters in a row of the table that adds them up
 FLUSH = 100_000  # signatures that a task gathers before it sends them
 PIVOTS = 64
 SALTS = 12  # how often a large block is split by another salt at most
 SHRINKS = 0.95  # a block that keeps more of its shingles is not split again
 SHINGLE_BYTES = 8  # of text, roughly
 PART_BYTES = 16 << 20
-BAND = 1.4  # ratio of the greatest to the least set size of a band
+HEAVY_SHARE = 0.05  # of a set's buckets that may well hold heavy shingles only
+BAND = 1.3  # ratio of the greatest to the least set size of a band
 LEAST_PERCENT = 75  # below it sets may differ in more shingles than buckets can be filled with
 MU = 0.001  # of the formula for the number of long lists; a look-up is cheap beside a merge step
 
@@ -87,23 +95,27 @@ def required(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def bucket_count(differ: int, size: int) -> tuple[int, int]:
-    """(buckets, empty ones allowed) for sets of ``size`` shingles or more that differ in ``differ`` at most.
+def bucket_count(differ: int, size: int) -> tuple[int, int, int]:
+    """(buckets, weak ones allowed, shingles of a strong one) for sets of ``size`` shingles or
+    more that differ in ``differ`` at most.
 
-    More buckets cost more hashes, fewer make more sets repeat the round: the least
-    expected cost, by the normal approximation of the number of empty buckets.
+    More buckets cost more hashes, fewer make more sets send their weak buckets as well: the
+    least expected cost, by the normal approximation of the number of weak buckets. Strong
+    buckets have two shingles if most sets can have enough of these, and one otherwise.
     """
-    best = None
-    for spare in range(1, differ + 8):
-        n = differ + 1 + spare
-        load = size / n
-        mean = n * math.exp(-load)
-        spread = math.sqrt(max(0.05, mean * (1 - math.exp(-load) * (1 + load))))
-        enough = 0.5 * (1 + math.erf((spare + 0.5 - mean) / spread / math.sqrt(2)))
-        cost = n / max(enough, 1e-9)
-        if best is None or cost < best[0]:
-            best = cost, n, spare
-    return best[1:]
+    for width in (2, 1):
+        best = None
+        for spare in range(1, 2 * differ + 8):
+            n = differ + 1 + spare
+            load = size / n
+            weak = min(0.99, math.exp(-load) * (1 + load * (width - 1)) + HEAVY_SHARE)
+            spread = math.sqrt(max(0.05, n * weak * (1 - weak)))
+            enough = 0.5 * (1 + math.erf((spare + 0.5 - n * weak) / spread / math.sqrt(2)))
+            cost = n / max(enough, 1e-9)
+            if best is None or cost < best[0]:
+                best = cost, enough, n, spare
+        if best[1] >= 0.8 or width == 1:
+            return *best[2:], width
 
 
 class Bands:
@@ -114,17 +126,17 @@ class Bands:
             raise ValueError(f"percent must be from {LEAST_PERCENT} to 100")
         self.percent = percent
         self.low = [1]
-        self.known: dict[int, tuple[int, int]] = {}
+        self.known: dict[int, tuple[int, int, int]] = {}
 
-    def _buckets(self, band: int) -> tuple[int, int]:
+    def _buckets(self, band: int) -> tuple[int, int, int]:
         if band not in self.known:
             high = self.low[band + 1] - 1
             differ = (100 - self.percent) * (high + high * 100 // self.percent) // (100 + self.percent)
-            self.known[band] = bucket_count(differ, self.low[band]) if differ else (0, 0)
+            self.known[band] = bucket_count(differ, self.low[band]) if differ else (0, 0, 0)
         return self.known[band]
 
-    def rounds(self, n: int) -> list[tuple[int, int, int]]:
-        """(band, buckets, empty ones allowed) of the rounds of a set of ``n`` shingles.
+    def rounds(self, n: int) -> list[tuple[int, int, int, int]]:
+        """(band, buckets, weak ones allowed, shingles of a strong one) of the rounds of a set of ``n`` shingles.
 
         Pairs whose smaller set is in a band meet in that band's round. No buckets:
         the linked sets of the band are equal.
@@ -140,19 +152,28 @@ class Bands:
         return [f for f in found if f[1]]
 
 
-def signatures(shingles: np.ndarray, bands: Bands, turn: int = 0) -> np.ndarray:
-    """Hashes of the contents of the buckets of a set; another ``turn`` deals the shingles to other buckets."""
+def signatures(shingles: np.ndarray, bands: Bands, heavy: np.ndarray, turn: int = 0) -> np.ndarray:
+    """Hashes of the contents of the buckets of a set that tell it from strangers, of all if these
+    are too few; another ``turn`` deals the shingles to other buckets."""
     out = []
+    light = ~heavy[_slots(shingles)]
     with np.errstate(over="ignore"):
-        for band, buckets, spare in bands.rounds(len(shingles)):
+        for band, buckets, spare, width in bands.rounds(len(shingles)):
             seed = 0
             while True:
                 salt = A.U64((turn << 40 | band << 20 | seed) + 1) * A.STEP
-                h = np.sort(A.mixed(shingles + salt))
+                h = A.mixed(shingles + salt)
+                order = np.argsort(h)
+                h = h[order]
                 bucket = ((h >> A.U64(32)) * A.U64(buckets)) >> A.U64(32)
                 first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                 total = np.add.reduceat(A.mixed(h ^ A.STEP), first)
-                out.append(A.mixed(total + (bucket[first] + A.U64(1)) * A.STEP + salt))
+                found = A.mixed(total + (bucket[first] + A.U64(1)) * A.STEP + salt)
+                strong = np.logical_or.reduceat(light[order], first) & (np.diff(first, append=len(h)) >= width)
+                if buckets - np.count_nonzero(strong) <= spare:
+                    out.append(found[strong])
+                    break
+                out.append(found)
                 if buckets - len(first) <= spare:
                     break
                 seed += 1
@@ -169,18 +190,74 @@ def _set_id(s: np.ndarray) -> tuple[int, int]:
     return int(low.astype(np.int64)), int(high.astype(np.int64))
 
 
-def set_ids(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2): the size and a 128-bit hash of each row's set."""
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return A.mixed(shingles) >> A.U64(64 - SLOTS.bit_length() + 1)
+
+
+def heavy_slots(counts: np.ndarray) -> np.ndarray:
+    """Which slots of the counters occur clearly more often than chance lets slots of rare shingles do."""
+    mean = float(counts.mean())
+    return counts > mean + 8 * math.sqrt(mean) + 8
+
+
+def _slices(counts: np.ndarray) -> pa.RecordBatch:
+    """Counters that aren't all 0, by slices, in as few bytes each as they need."""
+    numbers, blobs = [], []
+    for i, part in enumerate(counts.reshape(-1, SLICE)):
+        if top := int(part.max()):
+            numbers.append(i)
+            width = "u1" if top < 1 << 8 else "u2" if top < 1 << 16 else "u4"
+            blobs.append(zlib.compress(np.minimum(part, (1 << 32) - 1).astype(width).tobytes(), 1))
+    nothing = pa.nulls(len(numbers), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [nothing] * 4 + [pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())], names=_SETS
+    )
+
+
+_SETS = ["doc_id", "n_shingles", "s1", "s2", "slice", "counts"]
+
+
+def sets_and_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, n_shingles, s1, s2): the size and a 128-bit hash of each row's set; and from
+    each task, as rows (slice, counts) beside them, how many of its sets hold a shingle of each slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            rows = [(len(s), *_set_id(s)) for s in shingle_sets(batch.column(1), words)]
-            columns = np.array(rows, dtype=np.int64).reshape(-1, 3).T
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, columns)], names=["doc_id", "n_shingles", "s1", "s2"]
-            )
+            sets = list(shingle_sets(batch.column(1), words))
+            columns = np.array([(len(s), *_set_id(s)) for s in sets], dtype=np.int64).reshape(-1, 3).T
+            if sets:
+                counts += np.bincount(_slots(np.concatenate(sets)).astype(np.int64), minlength=SLOTS)
+            nothing = [pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns), *nothing], names=_SETS)
+        yield _slices(counts)
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
+    schema = "doc_id long, n_shingles long, s1 long, s2 long, slice long, counts binary"
+    return _texts(docs, id_col, text_col).mapInArrow(run, schema)
+
+
+def sets_of(found: DataFrame) -> DataFrame:
+    return found.where("slice is null").select(*_SETS[:4])
+
+
+def slot_counts(found: DataFrame) -> np.ndarray:
+    """The counters of all tasks of ``sets_and_counts`` added up, ``SLOTS`` whatever the input."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = zlib.decompress(blob)
+                part = np.frombuffer(raw, f"u{len(raw) // SLICE}")
+                total[number] = total.get(number, 0) + part.astype(np.int64)
+        blobs = [np.minimum(t, (1 << 32) - 1).astype("u4").tobytes() for t in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(blobs, pa.binary())], names=["slice", "counts"])
+
+    counts = np.zeros(SLOTS, dtype=np.uint32)
+    parts = found.where("slice is not null").select("slice", "counts").repartition("slice")
+    for number, blob in parts.mapInArrow(add, "slice long, counts binary").collect():
+        counts[number * SLICE : (number + 1) * SLICE] = np.frombuffer(blob, np.uint32)
+    return counts
 
 
 def _stars(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,18 +277,17 @@ def candidate_links(
     percent: int,
     id_col: str,
     text_col: str,
+    size: int,
+    heavy: Broadcast,
     turn: int = 0,
     inside: DataFrame | None = None,
-    size: int | None = None,
 ) -> DataFrame:
-    """Links (a, b) of set hashes that connect all sets with an equal bucket.
+    """Links (a, b) of set hashes that connect all sets with an equal bucket that they send.
 
     Only the documents of ``inside`` (doc_id, block) if given, and only within a block;
     ``size`` is about the bytes of their texts.
     """
     texts = _texts(docs, id_col, text_col).where("doc_id is not null")
-    if size is None:
-        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if inside is None:
         texts = texts.withColumn("block", F.lit(0).cast("long"))
     else:
@@ -239,7 +315,7 @@ def candidate_links(
         for batch in batches:
             within = batch.column(2).to_numpy().view(A.U64)
             for s, own in zip(shingle_sets(batch.column(1), words), within, strict=True):
-                if not len(s) or not len(sig := signatures(s, bands, turn)):
+                if not len(s) or not len(sig := signatures(s, bands, heavy.value, turn)):
                     continue
                 sigs.append(A.mixed(sig ^ own))
                 ids.append(np.full(len(sig), _set_id(s)[0], dtype=np.int64))
@@ -259,22 +335,19 @@ def candidate_links(
             links, signed = [], []
             for _, kind, blob in group:
                 (signed if kind else links).append(np.frombuffer(blob, np.int64).reshape(-1, 2))
-            found = list(links)
             if signed:
                 both = np.concatenate(signed)
-                found.append(_stars(both[:, 0], both[:, 1])[0])
-            forest = Forest()
-            for a, b in np.concatenate(found).tolist():
-                forest.join(a, b)
-            if forest.up:
-                thin = np.array(forest.links(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(thin[:, 0]), pa.array(thin[:, 1])], names=["a", "b"])
+                links.append(_stars(both[:, 0], both[:, 1])[0])
+            found = np.unique(np.concatenate(links), axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return (
         texts.mapInArrow(emit, "part long, signed boolean, rows binary")
         .repartition("part")
         .sortWithinPartitions("part")
         .mapInArrow(meet, "a long, b long")
+        .distinct()  # most stars of a group of copies have the same least member
     )
 
 
@@ -406,10 +479,17 @@ def _found(with_sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def classes_of(sets: DataFrame) -> DataFrame:
+    """(s1, s2, main, n, copies): the different sets that aren't empty."""
+    of = sets.where("n_shingles > 0").groupBy("s1", "s2")
+    return of.agg(F.min("doc_id").alias("main"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"))
+
+
 def blocks(
-    docs: DataFrame, classes: DataFrame, words: int, percent: int, block: int, id_col: str, text_col: str
+    docs: DataFrame, classes: DataFrame, heavy: np.ndarray, words: int, percent: int, block: int, id_col: str, text_col: str
 ) -> DataFrame:
     """(doc_id, block, n): the classes that may link with others; all that link are in one block."""
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def members(of: DataFrame, links: DataFrame, parent) -> DataFrame:
         found = of.join(components(links), F.col("s1") == F.col("id"))
@@ -417,7 +497,9 @@ def blocks(
         return stage(found.select(*columns), "join-members")
 
     first = classes.withColumnRenamed("main", "doc_id")
-    member = members(first, candidate_links(docs, words, percent, id_col, text_col), F.lit(None).cast("long"))
+    size = (classes.agg(F.sum(F.col("n") * F.col("copies"))).first()[0] or 0) * SHINGLE_BYTES
+    links = candidate_links(docs, words, percent, id_col, text_col, size, heavy)
+    member = members(first, links, F.lit(None).cast("long"))
     settled = []
     for turn in range(1, SALTS + 1):
         totals = member.groupBy("block").agg(F.sum("n").alias("total"), F.max("parent").alias("parent"))
@@ -428,9 +510,8 @@ def blocks(
             break
         settled.append(member.join(large, "block", "left_anti").select("doc_id", "block", "n"))
         inside = member.select("doc_id", "s1", "block", "n").join(large, "block")
-        links = candidate_links(
-            docs, words, percent, id_col, text_col, turn, inside.select("doc_id", "block"), size * SHINGLE_BYTES
-        )
+        within = inside.select("doc_id", "block")
+        links = candidate_links(docs, words, percent, id_col, text_col, size * SHINGLE_BYTES, heavy, turn, within)
         member = members(inside.drop("block"), links, F.col("total"))
     for part in settled:
         member = member.select("doc_id", "block", "n").union(part)
@@ -446,14 +527,10 @@ def linked(
     text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each input row."""
-    sets = stage(set_ids(docs, words, id_col, text_col), "join-sets")
-    classes = stage(
-        sets.where("n_shingles > 0")
-        .groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("main"), F.first("n_shingles").alias("n")),
-        "join-classes",
-    )
-    member = blocks(docs, classes, words, percent, block, id_col, text_col)
+    found = stage(sets_and_counts(docs, words, id_col, text_col), "join-sets")
+    sets, heavy = sets_of(found), heavy_slots(slot_counts(found))
+    classes = stage(classes_of(sets), "join-classes")
+    member = blocks(docs, classes, heavy, words, percent, block, id_col, text_col)
     sizes = stage(
         member.groupBy("block")
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("members"))
@@ -471,6 +548,7 @@ def linked(
         "join-wanted",
     )
     links = stage(_found(_with_sets(docs, wanted, words, id_col, text_col), percent), "join-links")
+    unstage(wanted)
     groups = components(links)
     if sizes.where("parts > 1").limit(1).count():
         links = links.union(_across(docs, placed.where("parts > 1"), groups, words, percent, block, id_col, text_col))

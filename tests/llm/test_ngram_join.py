@@ -81,14 +81,15 @@ def test_one_of_each_keeps_columns(spark):
 @pytest.mark.parametrize("percent", [75, 80, 85, 90])
 def test_every_linked_pair_shares_a_signature(percent):
     rng, bands = np.random.default_rng(1), ngram_join.Bands(percent)
-    for _ in range(400):
+    for turn in range(400):
+        heavy = rng.random(ngram_join.SLOTS) < (0, 0.1, 0.5, 1)[turn % 4] if turn % 40 < 4 else heavy
         n = int(rng.integers(1, 300))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         b = a[rng.random(len(a)) > rng.choice([0, 0.02, 0.08, 0.15])]
         b = np.unique(np.concatenate([b, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 6))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
         if len(b) and not np.array_equal(a, b) and 100 * both >= percent * (len(a) + len(b) - both):
-            assert len(np.intersect1d(ngram_join.signatures(a, bands), ngram_join.signatures(b, bands)))
+            assert len(np.intersect1d(ngram_join.signatures(a, bands, heavy), ngram_join.signatures(b, bands, heavy)))
 
 
 def test_occurrence_search_equals_counting():
@@ -126,14 +127,18 @@ def test_a_shared_passage_does_not_keep_strangers_in_a_block(spark):
     rows = strangers(200, 200, 0.2)
     rows += [(1000 + i, t.replace(" p7 ", " q ")) for i, t in rows[:12]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    classes = ngram_join.set_ids(docs, 4, "doc_id", "text").selectExpr("s1", "s2", "doc_id main", "n_shingles n")
+    found = ngram_join.sets_and_counts(docs, 4, "doc_id", "text")
+    classes, counts = ngram_join.classes_of(ngram_join.sets_of(found)), ngram_join.slot_counts(found)
     sizes = {}
-    for block in (10**9, 3000):
-        found = ngram_join.blocks(docs, classes, 4, 85, block, "doc_id", "text").collect()
-        of = {r.doc_id: r.block for r in found}
-        assert len(of) == len(found) and all(of[i] == of[1000 + i] for i in range(12))
-        sizes[block] = max(sum(r.n for r in found if r.block == b) for b in set(of.values()))
-    assert sizes[10**9] > 3000 >= sizes[3000]
+    for name, heavy in (("counted", ngram_join.heavy_slots(counts)), ("none", counts < 0)):
+        for block in (10**9, 3000):
+            found = ngram_join.blocks(docs, classes, heavy, 4, 85, block, "doc_id", "text").collect()
+            of = {r.doc_id: r.block for r in found}
+            assert len(of) == len(found) and all(of[i] == of[1000 + i] for i in range(12))
+            sizes[name, block] = max(sum(r.n for r in found if r.block == b) for b in set(of.values()))
+    # Knowing the heavy shingles keeps strangers apart; without that the further salts must.
+    assert sizes["counted", 10**9] < 500
+    assert sizes["none", 10**9] > 3000 >= sizes["none", 3000]
     assert run(spark, rows, block=3000) == brute(rows)
 
 
@@ -166,3 +171,34 @@ def test_one_of_each_goes_by_sets_and_not_by_ids(spark):
     assert sorted(kept, key=repr) == sorted(want, key=repr)
     again = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs.repartition(5)).collect()]
     assert sorted(again, key=repr) == sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()), key=repr)
+
+
+@pytest.mark.parametrize("percent", [75, 80, 85, 90])
+def test_thresholds_and_shared_passages_equal_brute_force(spark, percent):
+    rng, rows = random.Random(percent), corpus(6, 60)
+    for k, share in enumerate((0.2, 0.5, 0.8, 0.9)):
+        rows += [(1000 * (k + 1) + i, t) for i, t in strangers(12, 50, share)]
+    for i, t in rows[-12:]:
+        words = t.split()
+        words[rng.randrange(50)] = "z"
+        rows.append((9000 + i, " ".join(words)))
+    assert run(spark, rows, percent=percent) == brute(rows, percent=percent)
+
+
+def test_slot_counts_count_sets(spark):
+    docs = spark.createDataFrame([(i, f"a b c d x{i % 3}") for i in range(30)], "doc_id long, text string").repartition(4)
+    counts = ngram_join.slot_counts(ngram_join.sets_and_counts(docs, 4, "doc_id", "text"))
+    assert sorted(counts[counts > 0].tolist()) == [10, 10, 10, 30]
+
+
+def test_components_of_hubs_chains_and_rings(spark):
+    from custlens.llm.graph import components
+
+    rng = random.Random(4)
+    links = [(0, i) for i in range(1, 200)] + [(i, i + 1) for i in range(1000, 1200)] + [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)]
+    links += [(5, 5), (3001, 3000), (3000, 3001)] + [(199, 1100)]
+    rng.shuffle(links)
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
+    want = {i: 0 for i in [*range(200), *range(1000, 1201)]} | {2000 + i: 2000 for i in range(50)} | {3000: 3000, 3001: 3000}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
