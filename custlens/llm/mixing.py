@@ -244,30 +244,28 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    Rows that agree in id, source and size share their copies evenly, what is
-    over going to the first ones in the order of their texts.
+    A 128-bit hash of all its values stands for a row, so rows that share an id or have
+    none are dealt apart. Rows equal in every column are interchangeable: one of them
+    stands for all, with the sum of their copies. The rows move once, to their copies.
     """
-    key = ("mix_id", "source", "size")
-    found = (
-        copies(docs, id_col, text_col, source_col, **settings)
-        .groupBy(*key)
-        .agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n"))
-        .where("c > 0")
-    )
-    names = {c: fresh(docs, f"mix_{c}") for c in (*key, "c", "n", "rank", "times")}
-    found = stage(found.select([F.col(c).alias(names[c]) for c in (*key, "c", "n")]), "mix-copies")
-    own = {
-        "mix_id": F.col(f"`{id_col}`"),
-        "source": F.col(f"`{source_col}`").cast("string"),
-        "size": word_count(F.col(f"`{text_col}`")),
-    }
-    met = docs.join(found, [own[c].eqNullSafe(F.col(names[c])) for c in key])
-    rank = F.row_number().over(Window.partitionBy(*[names[c] for c in key]).orderBy(F.col(f"`{text_col}`")))
-    c, n = F.col(names["c"]), F.col(names["n"])
-    times = F.floor(c / n) + (rank <= F.pmod(c, n)).cast("int")
-    return (
-        met.withColumn(names["times"], times)
-        .where(F.col(names["times"]) > 0)
-        .withColumn(names["rank"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(names["times"]).cast("long"))))
-        .select([F.col(f"`{x}`") for x in docs.columns])
-    )
+    # A hash skips NULLs, so their places go in as well.
+    values = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    row, rank, part = (fresh(docs, f"mix_{c}") for c in ("row", "rank", "part"))
+    keyed = docs.withColumn(row, F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(7), *values).alias("b")))
+    found = copies(keyed, row, text_col, source_col, **settings).groupBy(F.col("mix_id").alias(row))
+    found = found.agg(F.sum("copies").alias(rank), F.count(F.lit(1)).alias(part)).where(f"{rank} > 0")
+    found = stage(found, "mix-copies")
+    repeated = found.where(f"{part} > 1").select(row, rank)
+    # Always a shuffle join: the plan, and what it writes, is alike at every size.
+    once = keyed.join(found.where(f"{part} = 1").select(row, rank).hint("merge"), row)
+    taken = once.withColumn(rank, F.explode(F.sequence(F.lit(1).cast("long"), rank)))
+    taken = taken.select([F.col(f"`{x}`") for x in docs.columns])
+    if not repeated.limit(1).count():
+        return taken
+    # One row may stand for a third of all: its copies are made by ``LEAF`` in tasks of their own.
+    single = keyed.join(repeated, row, "left_semi").dropDuplicates([row]).join(repeated, row)
+    starts = F.sequence(F.lit(0).cast("long"), F.col(rank) - 1, F.lit(LEAF).cast("long"))
+    spread = single.withColumn(part, F.explode(starts)).repartition(row, part)
+    last = F.least(F.col(part) + LEAF, F.col(rank)) - 1
+    spread = spread.withColumn(rank, F.explode(F.sequence(F.col(part), last)))
+    return taken.unionAll(spread.select([F.col(f"`{x}`") for x in docs.columns]))

@@ -178,10 +178,38 @@ def test_mixing_meets_its_targets(spark):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
     mixed = mixing.mixed(frame, leaf=20, fan=4)
     assert mixed.columns == frame.columns
-    assert mixed.count() == sum(r.copies for r in got)
+    chosen, words, given = {}, {}, {}
+    for r in mixed.collect():
+        words[r.source] = words.get(r.source, 0) + len((r.text or "").split())
+        chosen[tuple(r)] = chosen.get(tuple(r), 0) + 1
+    for r in rows:
+        given[r] = given.get(r, 0) + 1
+    assert all(n <= 2 * given[r] for r, n in chosen.items())
+    for source, target in targets.items():
+        assert abs(words.get(source, 0) - target) <= largest[source]
     assert mixing.copies(frame.limit(0)).count() == 0
 
 
+def test_mixing_deals_rows_apart_that_share_an_id(spark):
+    rows = [(7, f"w w x{i}", "en", "a", 1, "q", 2) for i in range(300)]
+    rows += [(None, "w w w", "en", "a", 1, "q", 2)] * 200 + [(1, "w w w w", "en", "b", 1, "q", i) for i in range(300)]
+    frame = spark.createDataFrame(rows, DOCS).withColumnsRenamed({"doc_id": "mix_row", "text": "MIX_RANK"}).withColumn("mix_part", F.lit("x"))
+    frame = frame.withColumn("row", F.lit(None).cast("string"))
+    got = mixing.mixed(frame, "mix_row", "MIX_RANK", "source", leaf=20, fan=4)
+    assert got.columns == frame.columns
+    found = got.collect()
+    words = {s: sum(len(r.MIX_RANK.split()) for r in found if r.source == s) for s in "ab"}
+    targets = slow_targets({"a": 1500, "b": 1200})
+    assert all(abs(words[s] - targets[s]) <= 4 for s in "ab")
+    copies = {}
+    for r in found:
+        copies[tuple(r)] = copies.get(tuple(r), 0) + 1
+    assert max(n for r, n in copies.items() if r[0] is not None) <= 2
+    assert copies == {k: v for k, v in copies.items() if v <= 2 or k[0] is None}
+    again = mixing.mixed(frame.repartition(5), "mix_row", "MIX_RANK", "source", leaf=20, fan=4).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, found), key=repr)
+
+
 # --- 4 -----------------------------------------------------------------------
 
 
