@@ -27,6 +27,10 @@ class NoVersion(FileNotFoundError):
     pass
 
 
+class VersionTaken(RuntimeError):
+    pass
+
+
 def _names(spark: SparkSession, path: str) -> list[str]:
     fs, at = _fs_and_path(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
@@ -68,16 +72,25 @@ def versions(spark: SparkSession, path: str) -> dict[int, dict]:
     return found
 
 
-def publish_version(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Write ``df`` as the table's next version and return its number."""
+def publish_version(
+    df: DataFrame, path: str, fmt: str = "parquet", note: dict | None = None, after: int | None = None
+) -> int:
+    """Write ``df`` as the table's next version and return its number.
+
+    ``note`` is kept in the manifest. With ``after`` the version is published only if
+    that one (0: none) is still the newest, else ``VersionTaken`` is raised.
+    """
     spark, path = df.sparkSession, path.rstrip("/")
     folder = f"data-{uuid.uuid4().hex}"
     df.write.format(fmt).mode("errorifexists").save(f"{path}/{folder}")
-    manifest = {"folder": folder, "format": fmt, "schema": json.loads(df.schema.json()), "written": time.time()}
+    manifest = {"folder": folder, "format": fmt, "schema": json.loads(df.schema.json()), "written": time.time(), "note": note}
     temporary = f"{path}/{MANIFESTS}/.{folder}.tmp"
     _write_text(spark, temporary, json.dumps(manifest))
     while True:
-        number = max(versions(spark, path), default=0) + 1
+        newest = max(versions(spark, path), default=0)
+        if after is not None and newest != after:
+            raise VersionTaken(f"{path} is at version {newest}, not {after}")
+        number = newest + 1
         while f"{number}.json" in _names(spark, f"{path}/{MANIFESTS}"):  # a broken one keeps its number
             number += 1
         if _claim(spark, temporary, f"{path}/{MANIFESTS}/{number}.json"):
