@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.operators import kpi
 from custlens.plans.registry import edge, query
+from custlens.session import scratch_path, staged
 from custlens.sources import fixtures as fx
+from custlens.streaming import kpi_state
 
 _EV_SQL = """,
 dir AS (
@@ -98,6 +102,57 @@ def q_staff_summary(spark: SparkSession, sf: str) -> DataFrame:
     return edge(kpi.staff_summary(_events(spark, sf), fx.staff_directory(spark, sf)).withColumn("revenue", F.round("revenue", 2)))
 
 
+def _streamed(spark: SparkSession, sf: str) -> str:
+    """The state after all activity in three batches: arrival is by number of the event, which
+    doesn't follow its time, and all days stay open until the end."""
+    import datetime as dt
+
+    activity = staged(fx.staff_activity(spark, sf), "activity")
+    path = scratch_path(spark, f"kpi-state-{uuid.uuid4().hex}")
+    for n in range(3):
+        kpi_state.advance(activity.where(F.pmod("event_id", F.lit(3)) == n), path, n, grace=dt.timedelta(days=365))
+    kpi_state.finish(spark, path)
+    return path
+
+
+@query(
+    "staff_summary_stream",
+    _sql(
+        """SELECT op_day, staff_id, staff_name, count(*) AS events,
+       count(*) FILTER (WHERE is_lead) AS leads, count(*) FILTER (WHERE is_purchase) AS purchases,
+       round(coalesce(sum(value) FILTER (WHERE is_purchase), 0), 2) AS revenue
+FROM ev GROUP BY ALL"""
+    ),
+)
+def q_staff_summary_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """G1 + G9 from the state of a stream of batches."""
+    grain = kpi_state.closed_days(spark, _streamed(spark, sf))
+    return edge(kpi_state.staff_summary(grain, fx.staff_directory(spark, sf)).withColumn("revenue", F.round("revenue", 2)))
+
+
+@query(
+    "late_events",
+    _sql(
+        """,
+seen AS (
+  SELECT *, max(CASE WHEN event_id % 2 = 0 THEN ts END) OVER () - INTERVAL '2 hours' AS mark FROM ev)
+SELECT event_id, 'late' AS reason FROM seen
+WHERE event_id % 2 = 1 AND CAST(op_day AS TIMESTAMP) + INTERVAL '36 hours 31 minutes' <= mark
+UNION ALL
+SELECT event_id, CASE WHEN ts IS NULL THEN 'missing_ts' WHEN staff_id IS NULL THEN 'missing_staff'
+                      WHEN event_type IS NULL THEN 'missing_event_type' ELSE 'bad_props' END
+FROM staff_activity WHERE ts IS NULL OR staff_id IS NULL OR event_type IS NULL OR product IS NULL"""
+    ),
+)
+def q_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """G2 on a stream: the rejects when events with even numbers arrive first and the odd ones after them."""
+    activity = staged(fx.staff_activity(spark, sf), "activity")
+    path = scratch_path(spark, f"kpi-state-{uuid.uuid4().hex}")
+    for n in range(2):
+        kpi_state.advance(activity.where(F.pmod("event_id", F.lit(2)) == n), path, n)
+    return kpi_state.rejects(spark, path).select("event_id", "reason")
+
+
 @query("points", _sql("SELECT op_day, staff_id, product, units, target, weight, met, points FROM pts"))
 def q_points(spark: SparkSession, sf: str) -> DataFrame:
     """Points against product targets."""
