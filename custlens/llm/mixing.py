@@ -8,15 +8,16 @@ other way, with the probabilities that keep the expectations, until one of them
 is 0 or 1. Each transfer keeps a*p + b*q, so that a source's words stay at its
 target but for the one document that is left at the end.
 
-Distribution: the documents of a source are dealt to leaves by a hash of their
-id, about ``LEAF`` in each. Each leaf runs as one ordered pass and hands one
+Distribution: the documents of a source are dealt to leaves by a hash of their id,
+their size and a number among rows equal in both, about ``LEAF`` in each, so that an id
+of very many rows meets in no task. Each leaf runs as one ordered pass and hands one
 undecided document on; the residuals of ``FAN`` leaves meet in a node of the next
 level, until one node per source is left. The leaves and the random numbers
 depend on the documents alone, so that reruns agree on any cluster.
 
 NULL text or no word: size 0, taken 0. NULL sources are one source, the last in
-order; sources with no words get target 0. A NULL id is dealt by the hash of
-NULL. Repeated rows are documents of their own. Extra columns are ignored.
+order; sources with no words get target 0. A NULL id is an id like others.
+Repeated rows are documents of their own. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,6 +154,19 @@ def _uniform(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def _numbered(rows: DataFrame, leaf: int) -> DataFrame:
+    """``rows`` with ``no``, which counts rows equal in every column from 0. Equal rows are
+    counted by an aggregate and made again by ``leaf`` in tasks of their own: no window."""
+    names, zero = rows.columns, F.lit(0).cast("long")
+    counted = stage(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    few = counted.where(F.col("n") <= leaf).withColumn("no", F.explode(F.sequence(zero, F.col("n") - 1)))
+    starts = F.sequence(zero, F.col("n") - 1, F.lit(leaf).cast("long"))
+    many = counted.where(F.col("n") > leaf).withColumn("start", F.explode(starts)).repartition(*names, "start")
+    last = F.least(F.col("start") + leaf, "n") - 1
+    many = many.withColumn("no", F.explode(F.sequence(F.col("start"), last)))
+    return few.select(*names, "no").unionByName(many.select(*names, "no"))
+
+
 def copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -166,14 +180,12 @@ def copies(
     seed: int = 1,
 ) -> DataFrame:
     """(mix_id, source, size, source_size, target, copies, taken), a row for each input row."""
-    sized = stage(
-        docs.select(
-            F.col(f"`{id_col}`").alias("mix_id"),
-            F.col(f"`{source_col}`").cast("string").alias("source"),
-            word_count(F.col(f"`{text_col}`")).alias("size"),
-        ),
-        "mix-sizes",
+    sizes = docs.select(
+        F.col(f"`{id_col}`").alias("mix_id"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+        word_count(F.col(f"`{text_col}`")).alias("size"),
     )
+    sized = stage(_numbered(sizes, leaf), "mix-sizes")
     targets = source_targets(sized, weights, share, most)
     targets = stage(
         targets.withColumn("source_no", F.xxhash64(F.col("source").isNull(), "source")), "mix-targets"
@@ -184,10 +196,10 @@ def copies(
         .join(targets.drop("source"), "source_no")
         .select(
             "source_no",
-            F.pmod(F.xxhash64(F.lit(seed), "mix_id"), F.ceil(F.col("n_docs") / F.lit(leaf))).alias("node"),
+            F.pmod(F.xxhash64(F.lit(seed), "mix_id", "size", "no"), F.ceil(F.col("n_docs") / F.lit(leaf))).alias("node"),
             "mix_id",
             "size",
-            F.xxhash64(F.lit(seed + 1), "mix_id").alias("h"),
+            F.xxhash64(F.lit(seed + 1), "mix_id", "size", "no").alias("h"),
             ratio.alias("ratio"),
         )
         .select(

@@ -210,6 +210,27 @@ def test_mixing_deals_rows_apart_that_share_an_id(spark):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, found), key=repr)
 
 
+@pytest.mark.parametrize("ident", [7, None])
+def test_mixing_spreads_rows_of_one_id(spark, monkeypatch, ident):
+    rows = [(ident, "w w w", "en", "a", 1, "q", 2)] * 700 + [(i, "w w", "en", "b", 1, "q", 2) for i in range(100)]
+    frame, nodes = spark.createDataFrame(rows, DOCS), []
+
+    def stage(df, name):
+        df = plain(df, name)
+        if name == "mix-level0":
+            nodes.extend(r["count"] for r in df.groupBy("source_no", "node").count().collect())
+        return df
+
+    plain = mixing.stage
+    monkeypatch.setattr(mixing, "stage", stage)
+    got = mixing.copies(frame, leaf=20, fan=4).collect()
+    assert len(got) == 800 and sum(nodes) == 800 and max(nodes) <= 60
+    targets = slow_targets({"a": 2100, "b": 200})
+    assert all(abs(sum(r.taken for r in got if r.source == s) - targets[s]) <= 3 for s in "ab")
+    again = mixing.copies(frame.repartition(5), leaf=20, fan=4).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+
+
 # --- 4 -----------------------------------------------------------------------
 
 
