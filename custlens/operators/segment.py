@@ -113,7 +113,7 @@ def kmeans_centroids(
     to no more than ``tolerance``; if that isn't reached in ``max_rounds`` the job fails.
     """
     zs = [_z(f) for f in features]
-    points = staged(kmeans.fixed_point(scaled, zs).select(group_col, *zs), "kmeans-points")
+    points = kmeans.blocks(kmeans.fixed_point(scaled, zs).select(group_col, *zs), group_col, zs)
     start = seeds.select(group_col, F.lit(0).alias("start"), F.col("cluster").cast("int").alias("cluster"), *zs)
     centres = kmeans.lloyd(points, kmeans.fixed_point(start, zs), group_col, zs, max_rounds, tolerance)
     return centres.select(group_col, "cluster", *[(F.col(z) / kmeans.UNIT).alias(z) for z in zs])
