@@ -497,12 +497,15 @@ def q_kmeans_check(spark: SparkSession, sf: str) -> DataFrame:
     fixed, centres = kmeans_fit(scale_features(scored, stats=stats), stats, 5)
     zs = [f"z_{f}" for f in FEATURES]
     assigned = staged(assign_nearest(fixed, centres), "kmeans-assigned")
-    # Each row against each of its product's centres, not only the chosen one.
-    all_centres = centres.select("product_name", F.col("cluster").alias("other"), *[F.col(c).alias(f"c_{c}") for c in zs])
-    d2 = sum(((F.col(c) - F.col(f"c_{c}")) * (F.col(c) - F.col(f"c_{c}")) for c in zs), F.lit(0.0))
-    each = assigned.join(all_centres, "product_name").groupBy("product_name", "customer_id").agg(
-        F.min(d2).alias("least"), F.min(F.when(F.col("other") == F.col("cluster"), d2)).alias("own")
-    )
+    # Each row against each of its product's centres, not only the chosen one. The centres of
+    # a product come as one array, so that the rows stay where they are.
+    all_centres = staged(centres.groupBy("product_name").agg(F.collect_list(F.struct("cluster", *zs)).alias("_all")), "kmeans-all-centres")
+
+    def least(of):
+        return F.array_min(F.transform(of, lambda c: sum(((F.col(z) - c[z]) * (F.col(z) - c[z]) for z in zs), F.lit(0.0))))
+
+    chosen = F.filter("_all", lambda c: c["cluster"] == F.col("cluster"))
+    each = assigned.join(all_centres, "product_name").select("product_name", least("_all").alias("least"), least(chosen).alias("own"))
     checked = each.groupBy("product_name").agg(
         F.count("own").alias("rows_assigned"), F.count_if(F.col("own") > F.col("least")).alias("misplaced"), F.sum("own").alias("within")
     )
