@@ -11,11 +11,13 @@ changes nothing.
 A batch may hold late rows. Where a customer's first month moves back, the months
 that the state has of that customer leave their old cells and enter the new ones.
 
-What a batch reads: the firsts of the customers in it, the months of its own (customer, product,
-month) keys, and only if first months move back all months of those customers. The first two
-are semi-joins on a pre-aggregated batch, small enough for a broadcast by its known size or
-shuffled otherwise. Logs are written in ranges of (month, customer), so that a scan skips
-row groups of other months. ``merge_after`` logs are merged into one.
+A batch's sums and the months that the state has of its customers are dealt by (customer,
+product) once; what the batch adds, first months and moved months all come out of that
+one shuffle, which meets a row per month at most, however many sales a customer has. Up to
+``FEW`` pairs of a batch are looked up in the logs by a semi-join, small enough for a
+broadcast; a larger batch takes the logs whole, as a join would shuffle them too. ``merge_after``
+logs are merged into one, which is written from the same shuffle: such a log holds the sums of
+old and new rows, with columns beside them that say what its batch brought.
 
 Amounts are held as decimals with ``SCALE`` fraction digits: taking a moved customer out of
 a cell leaves nothing behind, and the order of the batches doesn't matter. An amount that is no
@@ -28,12 +30,11 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.dates import month_index
 from custlens.operators.cohort import cohort_rows
-from custlens.session import staged
 from custlens.sources import versions
 from custlens.sources.files import _fs_and_path, delete_path
 
@@ -43,6 +44,7 @@ PAIR = ("customer", "product_name")
 MONTH = (*PAIR, "invoice_month")
 CELL = ("product_name", "cohort_month", "cohort_index")
 MERGE_AFTER = 16
+FEW = 200_000
 
 
 def _match(df: DataFrame, other: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
@@ -83,20 +85,53 @@ def _log(spark: SparkSession, path: str, logs: list[str], part: str, like: DataF
     return spark.read.schema(like.schema).parquet(*[f"{path}/{log}/{part}" for log in logs])
 
 
-def _write(df: DataFrame, folder: str, *ranges: str) -> DataFrame:
-    df.repartitionByRange(*ranges).sortWithinPartitions(*ranges).write.parquet(folder)
+def _write(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _cells(months: DataFrame, first: str, sign: int = 1) -> DataFrame:
-    """Rows to add to the cells, or with -1 to take out of them."""
-    return months.select(
-        "product_name",
-        F.col(first).alias("cohort_month"),
-        month_index("invoice_month", first).alias("cohort_index"),
-        (F.col("amount") * sign).cast(AMOUNT).alias("amount"),
-        (F.col("priced") * sign).alias("priced"),
-        (F.col("customers") * sign).alias("customers"),
+def _with_old(old_months: DataFrame, months: DataFrame) -> DataFrame:
+    """A row per (customer, product, month) of the state and the batch: the sums over both (amount,
+    priced), whether the state ``had`` it and whether it ``came``, the batch's own part where it is
+    both, and the pair's first month now (``first``) and in the state (``before``)."""
+    rows = old_months.withColumn("came", F.lit(False)).unionByName(months.withColumn("came", F.lit(True)))
+    came, both = F.col("came"), F.max("came") & F.max(~F.col("came"))
+    part = [
+        F.when(both, F.sum(F.when(came, F.col("amount"))).cast(AMOUNT)).alias("came_amount"),
+        F.when(both, F.sum(F.when(came, F.col("priced")))).alias("came_priced"),
+    ]
+    sums = [F.sum("amount").cast(AMOUNT).alias("amount"), F.sum("priced").alias("priced")]
+    each = rows.repartition(*PAIR).groupBy(*MONTH).agg(*sums, *part, F.max(~came).alias("had"), F.max("came").alias("came"))
+    pair = Window.partitionBy(*PAIR)
+    before = F.min(F.when(F.col("had"), F.col("invoice_month"))).over(pair)
+    return each.withColumns({"first": F.min("invoice_month").over(pair), "before": before})
+
+
+def _changes(each: DataFrame) -> DataFrame:
+    """Rows to add to the cells, from ``_with_old``. What came enters the cells of its first month.
+    Where that moves back, what the state had leaves its old cells and enters with it."""
+    had, came = F.col("had"), F.col("came")
+    moved = F.coalesce(F.col("first") < F.col("before"), F.lit(False))
+    amount, priced = (F.coalesce(F.col(f"came_{c}"), F.col(c)) for c in ("amount", "priced"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    had_amount, had_priced = (F.col(c) - F.when(came, F.col(f"came_{c}")).otherwise(0) for c in ("amount", "priced"))
+
+    def row(month, amount, priced, customers):
+        return F.struct(
+            month.alias("cohort_month"),
+            amount.cast(AMOUNT).alias("amount"), priced.cast("long").alias("priced"), customers.alias("customers"),
+        )
+
+    enters = row(
+        F.col("first"),
+        F.when(moved, F.col("amount")).otherwise(amount), F.when(moved, F.col("priced")).otherwise(priced),
+        F.when(moved | ~had, one).otherwise(none),
+    )
+    leaves = row(F.col("before"), -had_amount, -had_priced, -one)
+    rows = F.when(moved & had, F.array(enters, leaves)).when(came, F.array(enters))
+    changes = each.select("product_name", "invoice_month", F.inline(rows))
+    return changes.select(
+        "product_name", "cohort_month", month_index("invoice_month", "cohort_month").alias("cohort_index"), "amount", "priced", "customers"
     )
 
 
@@ -110,35 +145,25 @@ def add_batch(sales: DataFrame, path: str, key: str, *columns: str, merge_after:
     number, note = _note(spark, path)
     if key in note["keys"]:
         return number
-    log = f"log-{uuid.uuid4().hex}"
-    months = _write(month_sums(sales, *columns), f"{path}/{log}/months", "invoice_month", "customer")
-    firsts = _write(_firsts(months), f"{path}/{log}/firsts", "customer")
+    folder = f"log-{uuid.uuid4().hex}"
+    months = month_sums(sales, *columns)
     old_months = _log(spark, path, note["logs"], "months", months)
-    old_firsts = _log(spark, path, note["logs"], "firsts", firsts)
-
-    before = _match(old_firsts, firsts.select(*PAIR), PAIR, "left_semi").groupBy(*PAIR).agg(F.min("first").alias("before"))
-    now = F.least("first", "before").alias("first")
-    touched = staged(_match(firsts, before, PAIR, "left").select(*PAIR, "before", now), "cohort-touched")
-    seen = _match(old_months, months.select(*MONTH), MONTH, "left_semi").select(*MONTH).distinct().withColumn("seen", F.lit(1))
-    arrived = _match(_match(months, seen, MONTH, "left"), touched, PAIR, "inner")
-    changes = _cells(arrived.withColumn("customers", F.when(F.col("seen").isNull(), 1).otherwise(0).cast("long")), "first")
-    moved = touched.where("first < before")
-    if moved.limit(1).count():
-        theirs = _summed(_match(old_months, moved.select(*PAIR), PAIR, "left_semi")).withColumn("customers", F.lit(1).cast("long"))
-        theirs = _match(theirs, moved, PAIR, "inner")
-        changes = changes.unionByName(_cells(theirs, "before", -1)).unionByName(_cells(theirs, "first"))
+    if len(note["logs"]) >= merge_after:
+        each = _write(_with_old(old_months, months), f"{path}/{folder}/months")
+        _write(each.where("invoice_month = first").select(*PAIR, "first"), f"{path}/{folder}/firsts")
+        logs = [folder]
+    else:
+        months = _write(months.sortWithinPartitions(*PAIR), f"{path}/{folder}/months")
+        firsts = _write(_firsts(months), f"{path}/{folder}/firsts")
+        if firsts.count() <= FEW:
+            old_months = _match(old_months, firsts.select(*PAIR), PAIR, "left_semi")
+        each = _with_old(old_months, months)
+        logs = [*note["logs"], folder]
+    changes = _changes(each)
     if number:
         changes = versions.read_version(spark, path, number).unionByName(changes)
     sums = [F.sum("amount").cast(AMOUNT).alias("amount"), F.sum("priced").alias("priced"), F.sum("customers").alias("customers")]
     cells = changes.groupBy(*CELL).agg(*sums).where("customers > 0")
-
-    logs = [*note["logs"], log]
-    if len(logs) > merge_after:
-        merged = f"log-{uuid.uuid4().hex}"
-        _write(_summed(old_months.unionByName(months)), f"{path}/{merged}/months", "invoice_month", "customer")
-        all_firsts = old_firsts.unionByName(firsts).groupBy(*PAIR).agg(F.min("first").alias("first"))
-        _write(all_firsts, f"{path}/{merged}/firsts", "customer")
-        logs = [merged]
     return versions.publish_version(cells, path, note={"keys": [*note["keys"], key], "logs": logs}, after=number)
 
 
